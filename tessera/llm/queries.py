@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ogg, packing, token_counts
+from . import language_id, ogg, packing, quality, token_counts, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
@@ -24,13 +28,24 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.read_back(ogg.store(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_language_id": op5_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_ogg": op8_ogg,
 }
 
