@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, ogg, packing, quality, token_counts, toxicity
+from . import language_id, merkle, ogg, packing, quality, token_counts, toxicity
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
@@ -42,6 +46,7 @@ def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_merkle": op2_merkle,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_language_id": op5_language_id,
