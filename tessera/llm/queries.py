@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, merkle, mixing, ogg, packing, quality, token_counts, toxicity
+from . import language_id, merkle, mixing, ogg, packing, pii, quality, token_counts, toxicity
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op8_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.read_back(ogg.store(table(spark, sf_dir, "documents")))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_per_document(*mixing.plan(table(spark, sf_dir, "documents")))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_ogg": op8_ogg,
+    "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
 }
 
