@@ -131,6 +131,8 @@ def _shape(token: str) -> tuple[str, ...]:
     sized = "1 2 3 4 5-7 8-11 12-15 16-19 20-31 32+".split()[int(np.searchsorted([1, 2, 3, 4, 7, 11, 15, 19, 31], n))]
     turns = len(re.findall(r"[A-Za-z]+|[0-9]+", token))
     out = [f"kind {kind}", f"{kind} {sized}", f"shape {runs[:12]}", f"digits {min(digits, 12)} {kind}", f"turns {min(turns, 8)}"]
+    if mixed and token.isalnum() and token == token.upper():
+        out.append(f"capital letters and digits {sized}")
     if token.isalpha() and token.lower() in CUES:
         out.append(f"cue {CUES[token.lower()]}")
     if n == 1 and not token.isalnum():
