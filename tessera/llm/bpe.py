@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -24,8 +24,19 @@ PIECES = re.compile(
     rf" ?[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
 )
 
-#: Pre-tokens a worker's cache holds before it starts again.
-CACHE_ENTRIES = 250_000
+#: Pre-tokens in each of a worker's two cache generations, and characters of the longest that is kept.
+CACHE_ENTRIES, LONGEST_KEPT = 400_000, 64
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, the
+    others, in order, from U+0100."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: b for b in plain} | {b: 0x100 + k for k, b in enumerate(others)}
+
+
+_BYTES = _byte_characters()
 
 
 @lru_cache(maxsize=4)
@@ -41,17 +52,23 @@ def load(path: str):
 
 
 class Pieces(dict):
-    """Pre-token -> what ``make`` gives for its ids; misses are encoded and kept, within CACHE_ENTRIES."""
+    """Pre-token -> what ``make`` gives for its ids. Misses are encoded by the library's model and kept; when a
+    generation is full it becomes the older one, from which what is still in use comes back."""
 
     def __init__(self, path: str, make):
         super().__init__()
         self.tok, self.special, self.cuttable = load(path)
-        self.make = make
+        self.model, self.make, self.older = self.tok.model, make, {}
 
     def __missing__(self, piece: str):
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[piece] = self.make(self.tok.encode(piece, add_special_tokens=False).ids)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.make([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTES))])
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= CACHE_ENTRIES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = value
         return value
 
     def cut(self, text: str) -> list[str] | None:
@@ -68,7 +85,10 @@ class Pieces(dict):
 
 def pack_ids(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    return np.asarray(ids, dtype="<u4").tobytes()
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 def id_bytes(pieces: Pieces, text: str) -> bytes:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CACHE_ENTRIES, Pieces, load
+from .bpe import Pieces, load
 from .common import hash_below, small_batches, text_or_empty
 
 TABLE_ENTRIES = 32_768
@@ -55,19 +55,15 @@ def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col:
 
 
 class TwoTier(Pieces):
-    """Worker cache in front of which stands the broadcast table: its entries are never evicted."""
+    """The broadcast table, whose entries stay, and behind it the worker's cache."""
 
     def __init__(self, path: str, table: dict[str, int]):
         super().__init__(path, len)
         self.table = table
-        self.update(table)
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= len(self.table) + CACHE_ENTRIES:
-            self.clear()
-            self.update(self.table)
-        value = self[piece] = len(self.tok.encode(piece, add_special_tokens=False).ids)
-        return value
+        value = self.table.get(piece)
+        return super().__missing__(piece) if value is None else self.setdefault(piece, value)
 
     def count(self, text: str) -> int:
         cut = self.cut(text)
