@@ -1,14 +1,15 @@
 """N-gram Jaccard join by prefix trees, down to connected components.
 
-A document's set is its distinct word n-grams, as 64-bit hashes in one global order: by how many documents of a
-bounded sample hold the n-gram (in powers of two), then by hash. Rare ones come first, so passages that many
-documents share come last. Two sets of n and m n-grams are linked when ``100 * common >= SHARE * union``, which is
-``common >= need(n, m)``; linked sets share one of the first ``n - ceil(SHARE * n / 100) + 1`` of either (prefix).
+A document's set is its distinct word n-grams, as 63-bit keys whose numeric order is the global one: first by how
+many documents of a bounded sample hold the n-gram (in powers of two), then by a 58-bit hash. Rare ones come first,
+so passages that many documents share come last. Two sets of n and m n-grams are linked when ``100 * common >=
+SHARE * union``, which is ``common >= need(n, m)``; linked sets share one of the first ``n - ceil(SHARE * n / 100) +
+1`` of either (prefix).
 
 1. Equal sets are one class, named by its least document id; only classes go on.
 2. Classes meet under each n-gram of their prefixes. There they are ordered by size; each is paired with the
-   ``NEAR`` before it, if sizes allow a link. A pair's meetings are counted, and the count, the places of the last
-   meeting and what remains of either set bound its common n-grams from above: most pairs end here.
+   ``NEAR`` before it, if sizes allow a link. A pair's meetings are counted, and the count and what either set has
+   left behind the end of the prefix that ends first bound its common n-grams from above: most pairs end here.
 3. Pairs that are left are decided exactly: a tree of the candidates' whole sets is traversed by the other set,
    sharing overlaps of common beginnings and leaving subtrees that the remaining lengths rule out.
 4. Links give components. Under an n-gram with more than ``NEAR + 1`` classes, pairs further apart haven't met yet:
@@ -41,8 +42,8 @@ from .components import connected
 WORDS, SHARE = 4, 85
 NEAR, BLOCK = 32, 1_024
 #: Documents in the sample that sets the order, and in how many of them an n-gram must be to count as common.
-SAMPLE_ROWS, SAMPLE_CHARS, COMMON = 8_192, 65_536, 4
-#: Entries of the order's table of common n-grams at most (17 bytes each); the rarest beyond are left out.
+SAMPLE_ROWS, SAMPLE_CHARS, COMMON = 16_384, 65_536, 3
+#: Entries of the order's table of common n-grams at most (13 bytes each); the rarest beyond are left out.
 MOST_COMMON = 200_000
 #: Classes that one task should order under one n-gram.
 GROUP = 20_000
@@ -99,17 +100,24 @@ class Order:
     def __init__(self, grams: np.ndarray, seen: np.ndarray, documents_per_row: float):
         at = np.argsort(grams)
         self.grams, seen = grams[at], seen[at]
-        self.tiers = np.floor(np.log2(np.maximum(seen, 1))).astype(np.int8)
+        self.tiers = (1 + np.floor(np.log2(np.maximum(seen, 1)))).astype(np.int8)
         self.salts = np.maximum(1, seen * documents_per_row / GROUP).astype(np.int32)
 
-    def arrange(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The set (given in order of hash) in the global order, and each n-gram's number of salts."""
+    def keys(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of a set (given in order of hash) in the global order, and each one's number of salts."""
+        keys = (grams >> np.uint64(6)).view(np.int64)
         if not len(self.grams) or not len(grams):
-            return grams, np.ones(len(grams), np.int32)
+            return keys, np.ones(len(grams), np.int32)
         at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        common = self.grams[at] == grams
-        order = np.argsort(np.where(common, self.tiers[at], -1), kind="stable")
-        return grams[order], np.where(common, self.salts[at], 1)[order]
+        common = np.flatnonzero(self.grams[at] == grams)
+        if not len(common):
+            return keys, np.ones(len(grams), np.int32)
+        at, salts = at[common], np.ones(len(grams), np.int32)
+        keys = keys.copy()
+        keys[common] |= self.tiers[at].astype(np.int64) << 58
+        salts[common] = self.salts[at]
+        order = np.argsort(keys, kind="stable")
+        return keys[order], salts[order]
 
 
 def fit_order(docs: DataFrame, n: int = WORDS, text_col: str = "text", id_col: str = "doc_id") -> Order:
@@ -144,11 +152,11 @@ def features(docs: DataFrame, order, n: int = WORDS, share: int = SHARE, text_co
             for text in b.column(1).to_pylist():
                 s = shingle(text)
                 name = xxhash.xxh3_128(s.tobytes())
-                s, salts = ranks.arrange(s)
+                s, salts = ranks.keys(s)
                 p = prefix_length(len(s), share)
                 size.append(len(s))
                 names.append(name.digest())
-                prefix.append(s[:p].view(np.int64))
+                prefix.append(s[:p])
                 salt.append(np.where(salts[:p] > 1, (name.intdigest() & 0x7FFFFFFF) % salts[:p], UNSALTED))
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": b.column(0), "n": pa.array(size, pa.int32()), "name": pa.array(names, pa.binary()),
@@ -176,34 +184,49 @@ def tree_join(sets: list[np.ndarray], sizes: np.ndarray, probes: list[np.ndarray
         by = np.argsort(every, kind="stable")
         values, begin = np.unique(every[by], return_index=True)
         where = dict(zip(values.tolist(), np.split(owner[by], begin[1:]), strict=True))
-    target = share * probe_sizes.astype(np.int64)
+    whole, part = 100 + share, share * probe_sizes.astype(np.int64)
     ends = np.array([len(s) for s in sets], np.int64)
-    behind, probe_behind = sizes - ends, probe_sizes - np.array([len(p) for p in probes], np.int64)
+    probe_ends = np.array([len(p) for p in probes], np.int64)
+    probe_last = np.array([p[-1] if len(p) else -1 for p in probes], np.int64)
+    behind, probe_behind = sizes - ends, probe_sizes - probe_ends
 
     def possible(overlap: np.ndarray, below: list[int], depth: int) -> np.ndarray:
-        # Common n-grams are at most the overlap, the rest of the path, and what lies behind either's end: behind
-        # the one that ends first in the order, so behind the larger of both.
+        # Common n-grams are at most the overlap, the rest of the path, and what lies behind the end of the prefix
+        # that ends first, so behind the larger of both.
         most = overlap + ends[below].max() - depth + np.maximum(behind[below].max(), probe_behind)
-        return (100 + share) * most >= share * sizes[below].min() + target
+        return whole * most >= share * sizes[below].min() + part
+
+    def reached(i: int, overlap: np.ndarray) -> np.ndarray:
+        """The probes that may be linked with set i, whose path has been walked to its end."""
+        ok = np.flatnonzero(possible(overlap, [i], ends[i]))
+        if not len(ok) or not behind[i] and not probe_behind[ok].any():
+            return ok
+        # Behind the end of the one that ends first both must still have what is common.
+        last = sets[i][-1] if ends[i] else -1
+        rest = sizes[i] - np.searchsorted(sets[i], np.minimum(last, probe_last[ok]), "right")
+        rest = np.where(probe_last[ok] <= last, np.minimum(rest, probe_behind[ok]), rest)
+        lower = lambda k, r: whole * (overlap[ok[k]] + r) >= share * sizes[i] + part[ok[k]]
+        kept = np.flatnonzero(lower(np.arange(len(ok)), rest))
+        longer = [min(rest[k], probe_sizes[ok[k]] - int(np.searchsorted(probes[ok[k]], last, "right"))) for k in kept]
+        return ok[kept[lower(kept, np.array(longer, np.int64))]] if len(kept) else ok[:0]
 
     paths = [s.tolist() for s in sets]
     stack = [(sorted(range(len(sets)), key=paths.__getitem__), 0, np.zeros(len(probes), np.int64))]
     while stack:
         below, depth, overlap = stack.pop()
         if len(below) == 1:
-            i = below[0]
-            hits = [where[g] for g in paths[i][depth:] if g in where]
+            hits = [where[g] for g in paths[below[0]][depth:] if g in where]
             if hits:
                 overlap = overlap + np.bincount(np.concatenate(hits), minlength=len(overlap))
-            ok = np.flatnonzero(possible(overlap, below, len(paths[i])))
+            ok = reached(below[0], overlap)
             if len(ok):
-                yield i, ok, overlap[ok]
+                yield below[0], ok, overlap[ok]
             continue
         at = 0
         while at < len(below):
             i = below[at]
             if len(paths[i]) == depth:
-                ok = np.flatnonzero(possible(overlap, [i], depth))
+                ok = reached(i, overlap)
                 if len(ok):
                     yield i, ok, overlap[ok]
                 at += 1
@@ -229,7 +252,8 @@ def _fits(a: str, b: str, share: int) -> str:
 
 def meetings(classes: DataFrame) -> DataFrame:
     """Classes under the n-grams of their prefixes that another class has too, numbered by size."""
-    entries = classes.select("id", "n", F.posexplode(F.arrays_zip("prefix", "salt")).alias("pos", "e")).select("id", "n", "pos", F.col("e.prefix").alias("gram"), F.col("e.salt").alias("salt"))
+    zipped = F.posexplode(F.arrays_zip("prefix", "salt")).alias("pos", "e")
+    entries = classes.select("id", "n", F.element_at("prefix", -1).alias("last"), zipped).select("id", "n", "last", "pos", F.col("e.prefix").alias("gram"), F.col("e.salt").alias("salt"))
     by = Window.partitionBy("gram", "salt").orderBy("n", "id")
     placed = entries.withColumn("at", F.row_number().over(by)).withColumn("alone", F.lag("id").over(by).isNull() & F.lead("id").over(by).isNull())
     # A class alone in its group may still have others in the n-gram's other groups.
@@ -239,13 +263,12 @@ def meetings(classes: DataFrame) -> DataFrame:
 def near_pairs(met: DataFrame, share: int = SHARE) -> DataFrame:
     """Pairs at most NEAR places apart under some n-gram: how often they meet so, and their last places."""
     by = Window.partitionBy("gram", "salt").orderBy("at").rowsBetween(-NEAR, -1)
-    pairs = met.withColumn("before", F.collect_list(F.struct("id", "n", "pos")).over(by)).withColumn("o", F.explode("before")).filter(_fits("n", "o.n", share))
-    a, b = F.struct("id", "n", "pos"), F.col("o")
+    pairs = met.withColumn("before", F.collect_list(F.struct("id", "n", "pos", "last")).over(by)).withColumn("o", F.explode("before")).filter(_fits("n", "o.n", share))
+    a, b = F.struct("id", "n", "pos", "last"), F.col("o")
     swap = F.col("id") < F.col("o.id")
     pairs = pairs.select(F.when(swap, a).otherwise(b).alias("x"), F.when(swap, b).otherwise(a).alias("y"))
-    return pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(
-        F.max("x.n").alias("na"), F.max("y.n").alias("nb"), F.count("*").alias("met"), F.max("x.pos").alias("pa"), F.max("y.pos").alias("pb")
-    )
+    of = {f"{f}{s}": F.max(f"{v}.{c}").alias(f"{f}{s}") for s, v in (("a", "x"), ("b", "y")) for f, c in (("n", "n"), ("p", "pos"), ("l", "last"))}
+    return pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), *of.values())
 
 
 def crowded(met: DataFrame) -> DataFrame:
@@ -260,11 +283,14 @@ def bounded(pairs: DataFrame, crowds: DataFrame, share: int = SHARE) -> DataFram
     unseen = crowds.groupBy("id").agg(F.count("*").alias("k"))
     p = pairs.join(unseen.withColumnsRenamed({"id": "a", "k": "ka"}), "a", "left").join(unseen.withColumnsRenamed({"id": "b", "k": "kb"}), "b", "left")
     p = p.withColumn("unseen", F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0))))
-    p = p.withColumn("need", F.expr(f"ceil({share}L * (na + nb) / {100.0 + share})"))
-    behind = lambda n: f"({n} - ({n} - ceil({share}L * {n} / 100.0) + 1))"  # noqa: E731  of a set, behind its prefix
-    most = F.expr(f"met + unseen + greatest({behind('na')}, {behind('nb')})")
-    ahead = F.when(F.col("unseen") > 0, F.lit(1 << 30)).otherwise(F.expr("met + least(na - pa - 1, nb - pb - 1)"))
-    return p.filter((most >= F.col("need")) & (ahead >= F.col("need"))).select("a", "b")
+    size = lambda n: f"({n} - ceil({share}L * {n} / 100.0) + 1)"  # noqa: E731  of a prefix
+    first, exact = F.col("la") <= F.col("lb"), F.col("unseen") == 0
+    # Behind the prefix that ends first; and in the other set behind the last meeting, if all meetings are known.
+    rest_a, rest_b = F.expr(f"na - {size('na')}"), F.expr(f"nb - {size('nb')}")
+    rest_a = F.when(exact, F.least(rest_a, F.expr("nb - pb - 1"))).otherwise(rest_a)
+    rest_b = F.when(exact, F.least(rest_b, F.expr("na - pa - 1"))).otherwise(rest_b)
+    most = F.col("met") + F.col("unseen") + F.when(first, rest_a).otherwise(rest_b)
+    return p.filter(most * (100 + share) >= F.expr(f"{share}L * (na + nb)")).select("a", "b")
 
 
 def far_pairs(crowds: DataFrame, prefixes: DataFrame, component: DataFrame, share: int = SHARE) -> DataFrame:
@@ -272,27 +298,30 @@ def far_pairs(crowds: DataFrame, prefixes: DataFrame, component: DataFrame, shar
     named = crowds.select("gram", "id", "n").join(component, "id", "left").withColumn("c", F.coalesce("component", "id"))
     mixed = named.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size")).filter("c0 < c1")
     members = named.join(mixed.select("gram", "size"), "gram").withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(prefixes, "id")
+    grams = members.groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("grams"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(prefixes.join(grams, "id"), "id")
     pairs = members.withColumn("with", F.explode(F.expr("sequence(0, cast(blocks as int) - 1)"))).select(
-        "gram", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "n", "c", "prefix"
+        "gram", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "n", "c", "prefix", "grams"
     )
 
     def join(pdf):
         import pandas as pd
 
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        i, j, gram = pdf["i"].iloc[0], pdf["j"].iloc[0], pdf["gram"].iloc[0]
         left, right = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
         take = lambda d: [np.asarray(x, np.int64) for x in d["prefix"]]
         li, ri, lc, rc = left["id"].to_numpy(), right["id"].to_numpy(), left["c"].to_numpy(), right["c"].to_numpy()
+        lg, rg = left["grams"].to_numpy(), right["grams"].to_numpy()
         out = []
         if len(left) and len(right):
             for s, ok, _ in tree_join(take(left), left["n"].to_numpy(), take(right), right["n"].to_numpy(), share):
                 for q in ok[rc[ok] != lc[s]]:
-                    if i != j or li[s] < ri[q]:
+                    # A pair under several n-grams is given under the first.
+                    if (i != j or li[s] < ri[q]) and np.intersect1d(lg[s], rg[q])[0] == gram:
                         out.append((min(li[s], ri[q]), max(li[s], ri[q])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return pairs.groupBy("gram", "i", "j").applyInPandas(join, "a long, b long").distinct()
+    return pairs.groupBy("gram", "i", "j").applyInPandas(join, "a long, b long")
 
 
 def decide(pairs: DataFrame, docs: DataFrame, order, n: int = WORDS, share: int = SHARE, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -304,7 +333,7 @@ def decide(pairs: DataFrame, docs: DataFrame, order, n: int = WORDS, share: int
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, ranks = Shingler(n), order.value
         for b in batches:
-            sets = [ranks.arrange(shingle(t))[0].tobytes() for t in b.column(1).to_pylist()]
+            sets = [ranks.keys(shingle(t))[0].tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "grams": pa.array(sets, pa.binary())})
 
     sets = written(rows.mapInArrow(whole, "id long, grams binary"), "n-gram-sets")
