@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import TABLES
+from .scratch import scratch_path
 
 KEYS = {"node_coord": "nid", "node_info": "nid", "way_info": "wid", "way_range": "wid", "way_nds": "wid", "rel_info": "rid", "rel_members": "rid", "rel_range": "rid"}
 
@@ -62,6 +63,10 @@ class Store(Mapping[str, DataFrame]):
                 (df.sortWithinPartitions(KEYS[name]) if name in KEYS else df).write.mode(mode).parquet(f"{path}/{name}")
         return Store(self.spark, path=path)
 
+    def settled(self) -> Store:
+        """The same tables, written to the shared scratch folder: derived ones are computed once."""
+        return self.write(scratch_path(self.spark, "store"))
+
     def union(self, other: Store) -> Store:
         """Both stores' rows."""
         return Store(self.spark, {n: self[n].unionByName(other[n]) for n in TABLES})
