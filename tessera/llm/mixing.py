@@ -94,42 +94,50 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, *keys: Column)
     last = F.least(high, F.ceil(mean + 8 * dev + 2).cast("double"))
     steps = F.sequence(F.lit(0), F.least(last - first, F.lit(16 * EXACT_DEVIATION + 8)).cast("int"))
 
-    def ratio(x: Column) -> Column:  # probability of x over that of x - 1
-        return (k - x + 1) * (m - x + 1) / (x * (n - k - m + x))
+    def start(goal: Column) -> Column:  # what doesn't change is carried along, since a step would work it out again
+        return F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"), F.lit(0).alias("below"), first.alias("first"), goal.alias("goal"))
 
-    start = F.struct(F.lit(0.0).alias("term"), F.array().cast("array<double>").alias("sums"))
+    def step(acc: Column, i: Column) -> Column:
+        x = acc["first"] + i
+        # The probability of x over that of x - 1, if x isn't the first.
+        term = F.when(i == 0, F.lit(1.0)).otherwise(acc["term"] * (k - x + 1) * (m - x + 1) / (x * (n - k - m + x)))
+        total = acc["sum"] + term
+        below = acc["below"] + F.when(total < acc["goal"], 1).otherwise(0)
+        return F.struct(term.alias("term"), total.alias("sum"), below.alias("below"), acc["first"].alias("first"), acc["goal"].alias("goal"))
 
-    def extend(acc: Column, i: Column) -> Column:
-        term = F.when(i == 0, F.lit(1.0)).otherwise(acc["term"] * ratio(first + i))
-        return F.struct(term.alias("term"), F.concat(acc["sums"], F.array(F.coalesce(F.try_element_at(acc["sums"], F.lit(-1)), F.lit(0.0)) + term)).alias("sums"))
-
-    sums = F.aggregate(steps, start, extend, lambda acc: acc["sums"])
     u = _uniform(*keys)
-    exact = first + F.size(F.filter(sums, lambda s: s < u * F.try_element_at(sums, F.lit(-1))))
+    mass = F.aggregate(steps, start(F.lit(0.0)), step, lambda acc: acc["sum"])
+    exact = first + F.aggregate(steps, start(u * mass), step, lambda acc: acc["below"])
     normal = sum((_uniform(*keys, F.lit(j)) for j in range(1, 12)), u) - 6.0
     rough = F.least(high, F.greatest(low, F.round(mean + dev * normal)))
     return F.when(low >= high, low).when(dev <= EXACT_DEVIATION, exact).otherwise(rough).cast("long")
 
 
+def _halved(nodes: DataFrame, *keys: Column) -> DataFrame:
+    """Each node's two halves, source by source."""
+
+    def draw(acc: Column, x: Column) -> Column:
+        got = hypergeometric(acc["total"], x["q"], acc["left"], *keys, x["leaf"], x["i"])
+        return F.struct((acc["total"] - x["q"]).alias("total"), (acc["left"] - got).alias("left"), F.concat(acc["out"], F.array(got)).alias("out"))
+
+    total = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x)
+    nodes = nodes.withColumn("total", total).withColumn("items", F.transform("q", lambda x, i: F.struct(x.alias("q"), i.alias("i"), F.col("leaf").alias("leaf"))))
+    start = F.struct("total", F.expr("(total + 1) div 2").alias("left"), F.array().cast("array<long>").alias("out"))
+    nodes = nodes.withColumn("l", F.aggregate("items", start, draw, lambda acc: acc["out"]))
+    halves = F.array(
+        F.struct((F.col("leaf") * 2).alias("leaf"), F.col("l").alias("q")),
+        F.struct((F.col("leaf") * 2 + 1).alias("leaf"), F.zip_with("q", "l", lambda a, b: a - b).alias("q")),
+    )
+    return nodes.select(F.explode(halves).alias("h")).select("h.leaf", "h.q")
+
+
 def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     """Leaf quotas of the splitting tree. ``quotas`` has one row: ``q``, an array with each source's blocks. Gives
     2 ** depth rows: leaf number and its quotas."""
     nodes = quotas.select(F.lit(0).cast("long").alias("leaf"), F.col("q").cast("array<long>").alias("q"))
     for level in range(depth):
-
-        def draw(acc: Column, x: Column, level: int = level) -> Column:
-            got = hypergeometric(acc["total"], x["q"], acc["left"], F.lit(seed), F.lit(level), x["leaf"], x["i"])
-            return F.struct((acc["total"] - x["q"]).alias("total"), (acc["left"] - got).alias("left"), F.concat(acc["out"], F.array(got)).alias("out"))
-
-        total = F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x)
-        items = F.transform("q", lambda x, i: F.struct(x.alias("q"), i.alias("i"), F.col("leaf").alias("leaf")))
-        start = F.struct(total.alias("total"), F.expr("cast((aggregate(q, 0L, (a, x) -> a + x) + 1) div 2 as long)").alias("left"), F.array().cast("array<long>").alias("out"))
-        nodes = nodes.withColumn("l", F.aggregate(items, start, draw, lambda acc: acc["out"]))
-        halves = F.array(
-            F.struct((F.col("leaf") * 2).alias("leaf"), F.col("l").alias("q")),
-            F.struct((F.col("leaf") * 2 + 1).alias("leaf"), F.zip_with("q", "l", lambda a, b: a - b).alias("q")),
-        )
-        nodes = nodes.select(F.explode(halves).alias("h")).select("h.leaf", "h.q")
+        # Written level by level: filters inferred from nested explosions would double the plan with each.
+        nodes = written(_halved(nodes, F.lit(seed), F.lit(level)), "mix-nodes")
     return nodes
 
 
