@@ -1,7 +1,7 @@
 """Document fingerprints: a Merkle tree over a text's sections and paragraphs. DataFrame functions only.
 
 A paragraph is a line; its leaves are runs of ``LEAF`` characters. A section is a run of paragraphs: it ends after
-a paragraph whose last leaf's hash is 0 modulo ``SECTION_PARAGRAPHS``, so an edit moves no later section's bounds.
+a paragraph whose hash is 0 modulo ``SECTION_PARAGRAPHS``, so an edit moves no later section's bounds.
 A paragraph's hash covers its leaves' hashes, a section's its paragraphs', and the root all sections'. Equal roots
 mean equal texts; where roots differ, only sections with different hashes need be looked into, and of these only
 paragraphs that differ.
@@ -29,36 +29,40 @@ LEAF_DIGITS, SECTION_DIGITS, ROOT_DIGITS = 10, 16, 32
 IDS_PER_PARTITION = 2_000_000
 
 
-def _digits(h: Column, n: int) -> Column:
-    return F.substring(F.lpad(F.lower(F.hex(h)), 16, "0"), 1, n)
+_HIGH_BIT = -(1 << 63)
 
 
-def fingerprint(text: Column) -> Column:
-    """The fingerprint of a non-null text."""
-    parts = F.regexp_extract_all(text, F.lit(f"\n|[^\n]{{1,{LEAF}}}"), F.lit(0))
-    body = F.transform(
-        parts,
-        lambda x, i: F.when(
-            x == "\n", F.when((i > 0) & (F.xxhash64(F.get(parts, i - 1)) % SECTION_PARAGRAPHS == 0), F.lit(";")).otherwise(F.lit(","))
-        ).otherwise(_digits(F.xxhash64(x), LEAF_DIGITS)),
-    )
-    return _with_hashes(F.array_join(body, ""))
+def _leaf(run: Column) -> Column:
+    # With the high bit set all hashes have 16 hex digits; the last ones tell them apart.
+    return F.substring(F.hex(F.xxhash64(run).bitwiseOR(F.lit(_HIGH_BIT))), 17 - LEAF_DIGITS, LEAF_DIGITS)
+
+
+def _ended(paragraph: Column) -> Column:
+    return F.concat(paragraph, F.when(F.pmod(F.xxhash64(paragraph), F.lit(SECTION_PARAGRAPHS)) == 0, ";").otherwise(","))
 
 
-def _with_hashes(body: Column) -> Column:
-    def section(s: Column) -> Column:
-        paragraphs = F.transform(F.split(s, ","), lambda p: F.substring(F.sha2(p.cast("binary"), 256), 1, SECTION_DIGITS))
-        return F.concat(F.substring(F.sha2(F.array_join(paragraphs, "").cast("binary"), 256), 1, SECTION_DIGITS), F.lit("="), s)
+def _section(s: Column) -> Column:
+    paragraphs = F.transform(F.split(s, ","), lambda p: F.substring(F.sha2(p.cast("binary"), 256), 1, SECTION_DIGITS))
+    return F.concat(F.upper(F.substring(F.sha2(F.array_join(paragraphs, "").cast("binary"), 256), 1, SECTION_DIGITS)), F.lit("="), s)
 
-    sections = F.transform(F.split(body, ";"), section)
-    tops = F.array_join(F.transform(sections, lambda s: F.substring(s, 1, SECTION_DIGITS)), "")
-    return F.concat(F.substring(F.sha2(tops.cast("binary"), 256), 1, ROOT_DIGITS), F.lit("/"), F.array_join(sections, ";"))
+
+def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the fingerprint of a non-null text column. Each step is a column, so that it is evaluated once."""
+    t = "__tree"
+    df = df.withColumn(t, F.regexp_extract_all(F.col(text), F.lit(f"\n|[^\n]{{1,{LEAF}}}"), F.lit(0)))
+    df = df.withColumn(t, F.array_join(F.transform(t, lambda x: F.when(x == "\n", ",").otherwise(_leaf(x))), ""))
+    df = df.withColumn(t, F.array_join(F.transform(F.split(t, ","), _ended), ""))
+    # The last paragraph ends the last section.
+    df = df.withColumn(t, F.transform(F.split(F.expr(f"substring({t}, 1, length({t}) - 1)"), ";"), _section))
+    tops = F.array_join(F.transform(t, lambda s: F.substring(s, 1, SECTION_DIGITS)), "")
+    root = F.upper(F.substring(F.sha2(tops.cast("binary"), 256), 1, ROOT_DIGITS))
+    return df.withColumn(name, F.concat(root, F.lit("/"), F.array_join(t, ";"))).drop(t)
 
 
 def leaves(fp: Column) -> Column:
     """The distinct leaf hashes of a fingerprint."""
-    paragraphs = F.regexp_replace(F.substring(fp, ROOT_DIGITS + 2, 1 << 30), f"[0-9a-f]{{{SECTION_DIGITS}}}=", "")
-    return F.array_distinct(F.regexp_extract_all(paragraphs, F.lit(f"[0-9a-f]{{{LEAF_DIGITS}}}"), F.lit(0)))
+    paragraphs = F.regexp_replace(F.substring(fp, ROOT_DIGITS + 2, 1 << 30), f"[0-9A-F]{{{SECTION_DIGITS}}}=", "")
+    return F.array_distinct(F.regexp_extract_all(paragraphs, F.lit(f"[0-9A-F]{{{LEAF_DIGITS}}}"), F.lit(0)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -86,7 +90,8 @@ def edits(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint(text_or_empty(text_col)).alias("fingerprint"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    return with_fingerprint(rows, "text", "fingerprint").drop("text")
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
@@ -117,20 +122,21 @@ def compare_with_edits(docs: DataFrame, text_col: str = "text", id_col: str = "d
     key = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("tie")]
     order = ["none", "id", "tie"]
     keys = rows.select(*key, F.char_length("text").alias("n")).groupBy(*order).agg(F.max("n").alias("n"))
-    links = _neighbours(keys)
-    mine = rows.select(*key, "doc_id", "text").join(links, order)
-    mine = mine.withColumn("fingerprint", fingerprint(F.col("text")))
+    links = written(_neighbours(keys), "neighbours")
+    # Both uses of this join read the same columns, so that texts are shuffled once; the id follows from its key.
+    mine = rows.select(*key, "text").join(links, order)
+    mine = with_fingerprint(mine, "text", "fingerprint")
     # What each document gives to the one before it; that one's own columns stay where the join has put them.
     given = mine.select(
         F.col("p_none").alias("none"), F.col("p_id").alias("id"), F.col("p_tie").alias("tie"),
         F.struct(F.expr("substring(text, 1, cast(p_n div 4 as int))").alias("head"), F.col("fingerprint").alias("next")).alias("given"),
     ).groupBy(*order).agg(F.first("given").alias("given"))
-    both = mine.select(*order, "doc_id", "text", "fingerprint").join(given, order)
+    both = mine.select(*order, "text", "fingerprint").join(given, order).withColumn("doc_id", F.when(~F.col("none"), F.col("id")))
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(char_length(text) div 4 as int))"), F.col("given.head"))
     both = both.select("doc_id", n.cast("long").alias("n_chars"), "fingerprint", F.col("given.next").alias("next"), edited.alias("edited"))
-    both = both.withColumn("edited_fingerprint", fingerprint(F.col("edited"))).withColumn("mine", leaves(F.col("fingerprint")))
-    return both.select(
-        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness(F.col("mine"), leaves(F.col("edited_fingerprint"))).alias("near_edited"), likeness(F.col("mine"), leaves(F.col("next"))).alias("near_next"),
-    )
+    both = with_fingerprint(both, "edited", "edited_fingerprint").withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    for name, fp in (("l_mine", "fingerprint"), ("l_edited", "edited_fingerprint"), ("l_next", "next")):
+        both = both.withColumn(name, leaves(F.col(fp)))
+    near = {f"near_{x}": likeness(F.col("l_mine"), F.col(f"l_{x}")) for x in ("edited", "next")}
+    return both.withColumns(near).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *near)
