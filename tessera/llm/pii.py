@@ -273,6 +273,13 @@ W. {secret upper20} W w w.
 w w, {secret upper20} w w
 w w {secret caps20} w w w.
 w, W w {secret caps20} w.
+w {secret caps20} w
+W {secret upper20} w
+{secret caps20} w
+{secret upper20}
+w {secret upper20}.
+password={secret hex18} w
+w token="{secret hex40}"
 w bearer {secret hex40} w w
 w w call {phone ( area ) local} w w.
 w phone {phone area - local} w w w
