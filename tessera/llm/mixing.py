@@ -29,7 +29,7 @@ from .common import text_or_empty, written
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCK_WORDS = 256
-CELL_BLOCKS = 50_000
+CELL_BLOCKS = 4_096
 #: Blocks that a shard holds at least; there are MOST_SHARDS at most.
 SHARD_BLOCKS, MOST_SHARDS = 4_096, 4_096
 #: Sources, by number, that may be broadcast as a table of a few numbers each.
