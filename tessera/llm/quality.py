@@ -3,7 +3,8 @@
 The text view reads the text alone (character classes, word shapes, repetition); the metadata view reads the other
 columns alone (source, language, stated length). Both are logistic models that start from the labelled rows. In
 each round either view scores a pool of unlabelled rows and hands its most confident ones, with their predicted
-label, to the other view, which learns from them at a lower weight. After the rounds each view's log odds are
+label, to the other view, which learns from them at a lower weight. A view is confident above the score from which
+on ``SURE`` of its held-out labelled rows were right; a view without such a score hands over nothing. After the rounds each view's log odds are
 calibrated on held-out labelled rows and a last logistic model combines them; it scores every document.
 
 Fitted on bounded samples by a hash of the id: ``PER_CLASS`` labelled rows of either class and ``POOL`` rows of the
@@ -30,9 +31,10 @@ from .linear import Dense, fit_logistic, fit_platt, folds, logit, sigmoid
 PER_CLASS = 2_000
 POOL = 4_000
 ROUNDS = 4
-#: Rows that a view hands over in a round, of either class, and how sure it must be.
-HANDED, CONFIDENT, PSEUDO_WEIGHT = 200, 0.9, 0.5
-FOLDS = 5
+#: Rows of either class that a view hands over in a round at most, how often it must be right, over how many
+#: held-out rows, and what a row handed over weighs against a labelled one.
+HANDED, SURE, LEAST_SURE, PSEUDO_WEIGHT = 200, 0.99, 3, 0.25
+FOLDS = 3
 KEEP_AT = 0.5
 META_BUCKETS = 256
 
@@ -91,9 +93,31 @@ class View:
         return self._z(x) @ self.w + self.b
 
 
+def _held_out(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Each row's score by a view that hasn't seen it."""
+    raw, fold = np.zeros(len(y)), folds(len(y), min(FOLDS, max(2, len(y))))
+    for k in range(fold.max(initial=0) + 1):
+        out, fit = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        if len(fit):
+            raw[out] = View(x[fit], y[fit], np.ones(len(fit))).raw(x[out])
+    return raw
+
+
+def _sure_from(score: np.ndarray, right: np.ndarray) -> float:
+    """The least score from which on SURE of the rows are right."""
+    order = np.argsort(-score, kind="stable")
+    share = np.cumsum(right[order]) / np.arange(1, len(score) + 1)
+    good = np.flatnonzero(share >= SURE)
+    return float(score[order[good[-1]]]) if len(good) and good[-1] + 1 >= LEAST_SURE else np.inf
+
+
 def cotrain(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], rounds: int = ROUNDS) -> list[View]:
     """Two views fitted by exchanging confident pseudo-labels over the pool, ``rounds`` times."""
     given: list[dict[int, float]] = [{}, {}]
+    sure = []
+    for v in (0, 1):
+        raw = _held_out(views[v], y)
+        sure.append((_sure_from(raw, y == 1), _sure_from(-raw, y == 0)))
     for r in range(rounds + 1):
         models = []
         for v in (0, 1):
@@ -106,10 +130,10 @@ def cotrain(views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], rou
         for v in (0, 1):
             if not len(pools[v]):
                 continue
-            p = sigmoid(models[v].raw(pools[v]))
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                for i in np.argsort(-sure, kind="stable")[: HANDED * (r + 1)]:
-                    if sure[i] >= CONFIDENT:
+            raw = models[v].raw(pools[v])
+            for label, score, least in ((1.0, raw, sure[v][0]), (0.0, -raw, sure[v][1])):
+                for i in np.argsort(-score, kind="stable")[: HANDED * (r + 1)]:
+                    if score[i] >= max(least, 0.0):
                         given[1 - v][int(i)] = label
     return models
 
@@ -129,7 +153,7 @@ class Combined:
                     raw[out, v] = m.raw((text, meta)[v][out])
         self.views = cotrain([text, meta], y, [pool_text, pool_meta])
         self.platt = [fit_platt(raw[:, v], y) for v in (0, 1)]
-        self.w, self.b = fit_logistic(Dense(self._odds(raw) / 4), y, l2=0.5)
+        self.w, self.b = fit_logistic(Dense(self._odds(raw) / 4), y, l2=0.05)
 
     def _odds(self, raw: np.ndarray) -> np.ndarray:
         return np.clip(np.column_stack([a * raw[:, v] + b for v, (a, b) in enumerate(self.platt)]), -12, 12)
