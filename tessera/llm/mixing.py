@@ -227,16 +227,16 @@ def mixed_documents(docs: DataFrame, seed: int = 0, text_col: str = "text", id_c
     sources = _small(aims.select("sid", F.col("source").alias("__source")), aims.count())
     times = drawn.groupBy("doc_id", "tie", "sid", "size", "block").agg(F.count("*").alias("times"))
     per = times.groupBy("doc_id", "tie", "sid", "size").agg(F.sort_array(F.collect_list(F.struct("block", "times"))).alias("__taken"), F.max("times").alias("__times"))
-    per = per.join(sources, "sid").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__source", "size", "__taken", "__times")
+    per = per.join(sources, "sid").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__source", F.col("size").alias("__size"), "__taken", "__times")
     rows = docs.withColumns(dict(zip(keys, [F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)), F.col(source_col).cast("string")], strict=True)))
     # Repeated rows (same id, text and source) were counted together: one of them carries all their draws.
     repeated = rows.groupBy(*keys).count().filter("count > 1").head(1)
     rows = rows.dropDuplicates(keys) if repeated else rows
     same = rows["__id"].eqNullSafe(per["__id"]) & (rows["__tie"] == per["__tie"]) & rows["__source"].eqNullSafe(per["__source"])
-    out = rows.join(per, same).select(*(rows[c] for c in docs.columns), "size", "__taken", F.explode(F.sequence(F.lit(1).cast("long"), "__times")).alias("__turn"))
+    out = rows.join(per, same).select(*(rows[c] for c in docs.columns), "__size", "__taken", F.explode(F.sequence(F.lit(1).cast("long"), "__times")).alias("__turn"))
     blocks = F.filter("__taken", lambda x: x["times"] >= F.col("__turn"))
     pieces = F.col("__pieces")
     partial = F.array_join(F.transform(F.col("__blocks"), lambda x: F.get(pieces, x["block"].cast("int"))), "")
-    whole = F.size("__blocks") * BLOCK_WORDS >= F.col("size")
+    whole = F.size("__blocks") * BLOCK_WORDS >= F.col("__size")
     out = out.withColumn("__blocks", blocks).withColumn("__pieces", F.when(~whole, block_texts(F.col(text_col))))
     return out.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(partial)).select(*docs.columns)
