@@ -645,8 +645,8 @@ def map_store(spark: SparkSession, d: str, *zooms: int) -> Store:
     rel_range = ingest.relation_ranges(rels, ranges)
     nodes = node_coord(spark, d)
     near = lambda df: df.withColumn("center", F.lit(True))
-    refs = ingest.placed_points(nodes.withColumn("min_zoom", F.lit(12)), "node", "nid")
-    refs = refs.unionByName(ingest.placed_boxes(near(ranges.withColumn("min_zoom", F.lit(12))), "way", "wid"))
+    refs = ingest.placed_points(nodes.withColumn("min_zoom", F.lit(10)), "node", "nid")
+    refs = refs.unionByName(ingest.placed_boxes(near(ranges.withColumn("min_zoom", F.lit(10))), "way", "wid"))
     refs = refs.unionByName(ingest.placed_boxes(near(rel_range.withColumn("min_zoom", F.lit(10))), "rel", "rid"))
     tables = {
         "node_info": node_info(spark, d), "node_coord": nodes, "way_info": way_info(spark, d), "way_range": ranges, "way_nds": nds,

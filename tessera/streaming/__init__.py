@@ -28,7 +28,8 @@ def tile_activity(events: DataFrame, window: str = "10 minutes", late: str = "1
 
 
 def append_nodes(spark: SparkSession, folder: str, store: str, checkpoint: str, style: Style, classes: Classes | None = None) -> StreamingQuery:
-    """Adds arriving nodes to a store: positions, attributes and tile references, once each."""
+    """Adds arriving nodes to a store: positions, attributes and tile references. A batch that is repeated after a
+    failure may add its rows again; ``sources.store.last_write_wins`` leaves one of each id."""
     classes = classes or Classes(style.classes)
 
     def batch(raw: DataFrame, epoch: int) -> None:
