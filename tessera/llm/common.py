@@ -1,13 +1,12 @@
-"""What the text operators share: reading tables, cutting lineage, and bounded hash samples."""
+"""What the text operators share: reading tables, batches that fit a worker, and bounded hash samples."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written  # noqa: F401  the operators cut lineage with it
+
 #: Rows in one Arrow batch handed to Python. Bounds a worker's memory whatever the table's size.
 BATCH_ROWS = 512
 
@@ -24,28 +23,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    made = "file://" + tempfile.mkdtemp(prefix="tessera-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: its lineage ends there, and a lost executor
-    costs a read instead of a recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def hash_below(column: Column, fraction: float, seed: str) -> Column:
     """True for about ``fraction`` of the distinct values of ``column``, the same ones on every run."""
     limit = max(0, min(_HASH_SPAN, round(fraction * _HASH_SPAN)))

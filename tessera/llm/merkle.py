@@ -29,40 +29,36 @@ LEAF_DIGITS, SECTION_DIGITS, ROOT_DIGITS = 10, 16, 32
 IDS_PER_PARTITION = 2_000_000
 
 
-_HIGH_BIT = -(1 << 63)
-
-
-def _leaf(run: Column) -> Column:
-    # With the high bit set all hashes have 16 hex digits; the last ones tell them apart.
-    return F.substring(F.hex(F.xxhash64(run).bitwiseOR(F.lit(_HIGH_BIT))), 17 - LEAF_DIGITS, LEAF_DIGITS)
+def _hash(text: Column, digits: int) -> Column:
+    return F.substring(F.sha2(text.cast("binary"), 256), 1, digits)
 
 
 def _ended(paragraph: Column) -> Column:
-    return F.concat(paragraph, F.when(F.pmod(F.xxhash64(paragraph), F.lit(SECTION_PARAGRAPHS)) == 0, ";").otherwise(","))
+    ends = _hash(paragraph, 1).isin(*(f"{d:x}" for d in range(0, 16, SECTION_PARAGRAPHS)))
+    return F.concat(paragraph, F.when(ends, ";").otherwise(","))
 
 
 def _section(s: Column) -> Column:
-    paragraphs = F.transform(F.split(s, ","), lambda p: F.substring(F.sha2(p.cast("binary"), 256), 1, SECTION_DIGITS))
-    return F.concat(F.upper(F.substring(F.sha2(F.array_join(paragraphs, "").cast("binary"), 256), 1, SECTION_DIGITS)), F.lit("="), s)
+    paragraphs = F.transform(F.split(s, ","), lambda p: _hash(p, SECTION_DIGITS))
+    return F.concat(_hash(F.array_join(paragraphs, ""), SECTION_DIGITS), F.lit("="), s)
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds the fingerprint of a non-null text column. Each step is a column, so that it is evaluated once."""
     t = "__tree"
     df = df.withColumn(t, F.regexp_extract_all(F.col(text), F.lit(f"\n|[^\n]{{1,{LEAF}}}"), F.lit(0)))
-    df = df.withColumn(t, F.array_join(F.transform(t, lambda x: F.when(x == "\n", ",").otherwise(_leaf(x))), ""))
+    df = df.withColumn(t, F.array_join(F.transform(t, lambda x: F.when(x == "\n", ",").otherwise(_hash(x, LEAF_DIGITS))), ""))
     df = df.withColumn(t, F.array_join(F.transform(F.split(t, ","), _ended), ""))
     # The last paragraph ends the last section.
     df = df.withColumn(t, F.transform(F.split(F.expr(f"substring({t}, 1, length({t}) - 1)"), ";"), _section))
     tops = F.array_join(F.transform(t, lambda s: F.substring(s, 1, SECTION_DIGITS)), "")
-    root = F.upper(F.substring(F.sha2(tops.cast("binary"), 256), 1, ROOT_DIGITS))
-    return df.withColumn(name, F.concat(root, F.lit("/"), F.array_join(t, ";"))).drop(t)
+    return df.withColumn(name, F.concat(_hash(tops, ROOT_DIGITS), F.lit("/"), F.array_join(t, ";"))).drop(t)
 
 
 def leaves(fp: Column) -> Column:
     """The distinct leaf hashes of a fingerprint."""
-    paragraphs = F.regexp_replace(F.substring(fp, ROOT_DIGITS + 2, 1 << 30), f"[0-9A-F]{{{SECTION_DIGITS}}}=", "")
-    return F.array_distinct(F.regexp_extract_all(paragraphs, F.lit(f"[0-9A-F]{{{LEAF_DIGITS}}}"), F.lit(0)))
+    paragraphs = F.regexp_replace(F.substring(fp, ROOT_DIGITS + 2, 1 << 30), f"[0-9a-f]{{{SECTION_DIGITS}}}=", "")
+    return F.array_distinct(F.regexp_extract_all(paragraphs, F.lit(f"[0-9a-f]{{{LEAF_DIGITS}}}"), F.lit(0)))
 
 
 def likeness(a: Column, b: Column) -> Column:
