@@ -12,7 +12,6 @@ import os
 import re
 import sys
 from array import array
-from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -25,7 +24,7 @@ PIECES = re.compile(
 )
 
 #: Pre-tokens in each of a worker's two cache generations, and characters of the longest that is kept.
-CACHE_ENTRIES, LONGEST_KEPT = 400_000, 64
+CACHE_ENTRIES, LONGEST_KEPT = 150_000, 64
 
 
 def _byte_characters() -> dict[int, int]:
@@ -39,8 +38,9 @@ def _byte_characters() -> dict[int, int]:
 _BYTES = _byte_characters()
 
 
-@lru_cache(maxsize=4)
 def load(path: str):
+    """The tokenizer, its special strings, and whether texts may be cut at pre-tokens. Not kept: a worker that has
+    gone on to other stages shouldn't hold it."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)

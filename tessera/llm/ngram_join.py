@@ -51,6 +51,9 @@ UNSALTED = -1
 #: Ids of documents that may be broadcast to the scan (8 bytes each).
 MOST_BROADCAST = 2_000_000
 
+#: Words whose hashes a worker holds.
+CACHE_ENTRIES = 150_000
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,7 +68,7 @@ def prefix_length(n: int, share: int = SHARE) -> int:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > CACHE_ENTRIES:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h

@@ -119,7 +119,7 @@ def windows(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=20_000)
 def _shape(token: str) -> tuple[str, ...]:
     """Word-shape features of one token, by itself."""
     runs = re.sub(r"[^\W\d_a-z]+", "X", re.sub(r"[a-zß-öø-ÿ]+", "x", re.sub(r"[0-9]+", "9", token)))
@@ -153,7 +153,7 @@ CUES = {
 }
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=40_000)
 def _ids(prefix: str, token: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(f"{prefix} {f}".encode()) & ((1 << FEATURE_BITS) - 1) for f in _shape(token))
 
