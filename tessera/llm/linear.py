@@ -15,13 +15,10 @@ def logit(p):
 
 
 class Sparse:
-    """Rows of (feature, value) pairs, in compressed rows."""
+    """Rows of (feature, value) pairs, as triples."""
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], width: int):
-        self.width, self.n = width, len(rows)
-        self.row = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
-        self.col = np.concatenate([i for i, _ in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
-        self.val = np.concatenate([v for _, v in rows]).astype(np.float64) if rows else np.zeros(0)
+    def __init__(self, row: np.ndarray, col: np.ndarray, val: np.ndarray, n: int, width: int):
+        self.row, self.col, self.val, self.n, self.width = row, col, val.astype(np.float64), n, width
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.val * w[self.col], minlength=self.n)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from . import words
 from .common import hash_below, small_batches, text_or_empty
 from .linear import Sparse, fit_logistic, fit_platt, folds, logit, sigmoid
+from .words import Bags
 
 PER_CLASS = 2_500
 SLICE = 12_000
@@ -40,44 +41,41 @@ PRECISION = 0.99
 PERSONS = frozenset("idiot idiots loser losers moron morons clown clowns fool fools scum".split())
 
 
-def _evidence(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> dict[int, float]:
+def _evidence(bags: Bags, y: np.ndarray) -> dict[int, float]:
     """Feature -> log odds of its presence in positive texts, for the features with the most evidence."""
-    if not len(bags) or y.min() == y.max():
+    if not bags.n or y.min() == y.max():
         return {}
-    ids = np.concatenate([i for i, _ in bags])
-    of = np.repeat(y, [len(i) for i, _ in bags])
-    names, inverse = np.unique(ids, return_inverse=True)
-    pos = np.bincount(inverse, of, minlength=len(names))
-    neg = np.bincount(inverse, minlength=len(names)) - pos
+    pos = np.bincount(bags.col, y[bags.row], minlength=1 << words.BITS)
+    neg = np.bincount(bags.col, minlength=1 << words.BITS) - pos
     a, b, n, m = pos + 0.5, neg + 0.5, y.sum(), len(y) - y.sum()
     odds = np.log(a / (n - pos + 0.5)) - np.log(b / (m - neg + 0.5))
-    z = odds / np.sqrt(1 / a + 1 / b)
-    use = (np.maximum(pos, neg) >= LEAST_TEXTS) & (np.abs(z) >= LEAST_EVIDENCE)
-    order = np.lexsort((names, -np.abs(z)))
-    order = order[use[order]][:FEATURES]
-    return {int(names[k]): float(odds[k]) for k in order}
+    z = np.abs(odds) / np.sqrt(1 / a + 1 / b)
+    use = np.flatnonzero((np.maximum(pos, neg) >= LEAST_TEXTS) & (z >= LEAST_EVIDENCE))
+    order = use[np.lexsort((use, -z[use]))][:FEATURES]
+    return {int(f): float(odds[f]) for f in order}
 
 
 class Link:
     """One model of the chain: weights of word features and of earlier categories' log odds, intercept, calibration."""
 
-    def __init__(self, bags, earlier: np.ndarray, y: np.ndarray):
-        chosen = sorted(_evidence(bags, y))
-        self.index = {f: k for k, f in enumerate(chosen)}
+    def __init__(self, bags: Bags, earlier: np.ndarray, y: np.ndarray):
+        self.chosen = np.array(sorted(_evidence(bags, y)), np.int64)
         self.slope, self.shift = 1.0, 0.0
         w, self.b = fit_logistic(self._rows(bags, earlier), y, l2=1.0)
-        self.words = {f: w[k] for f, k in self.index.items()}
-        self.earlier = w[len(chosen) :]
+        self.words = dict(zip(self.chosen.tolist(), w[: len(self.chosen)], strict=True))
+        self.earlier = w[len(self.chosen) :]
 
-    def _rows(self, bags, earlier: np.ndarray) -> Sparse:
-        k, rows = len(self.index), []
-        for (ids, n), e in zip(bags, earlier, strict=True):
-            have = [(self.index[f], c) for f, c in zip(ids.tolist(), n.tolist(), strict=True) if f in self.index]
-            rows.append((np.array([j for j, _ in have] + [k + j for j in range(len(e))]), np.array([c for _, c in have] + list(e / 4))))
-        return Sparse(rows, k + earlier.shape[1])
+    def _rows(self, bags: Bags, earlier: np.ndarray) -> Sparse:
+        k, m = len(self.chosen), earlier.shape[1]
+        at = np.full(1 << words.BITS, -1)
+        at[self.chosen] = np.arange(k)
+        col = at[bags.col]
+        on = col >= 0
+        row = np.concatenate([bags.row[on], np.repeat(np.arange(bags.n), m)])
+        return Sparse(row, np.concatenate([col[on], np.tile(k + np.arange(m), bags.n)]), np.concatenate([bags.val[on], earlier.ravel() / 4]), bags.n, k + m)
 
-    def raw(self, bags, earlier: np.ndarray) -> np.ndarray:
-        return self._rows(bags, earlier).dot(np.append([self.words[f] for f in self.index], self.earlier)) + self.b
+    def raw(self, bags: Bags, earlier: np.ndarray) -> np.ndarray:
+        return self._rows(bags, earlier).dot(np.append([self.words[f] for f in self.chosen.tolist()], self.earlier)) + self.b
 
 
 class Chain:
@@ -110,7 +108,7 @@ class Chain:
 
 def train_chain(texts: list[str], targets: dict[str, np.ndarray]) -> Chain:
     """Fit the chain; ``targets`` gives the categories in order. The last one's decisions set the threshold."""
-    bags = [words.bag(t) for t in texts]
+    bags = Bags.of(texts)
     fold = folds(len(texts), FOLDS)
     earlier, links, names = np.zeros((len(texts), 0)), [], list(targets)
     held = np.zeros(len(texts))
@@ -119,8 +117,8 @@ def train_chain(texts: list[str], targets: dict[str, np.ndarray]) -> Chain:
         for k in range(FOLDS):
             out = np.flatnonzero(fold == k)
             fit = np.flatnonzero(fold != k)
-            link = Link([bags[i] for i in fit], earlier[fit], y[fit])
-            raw[out] = link.raw([bags[i] for i in out], earlier[out])
+            link = Link(bags.take(fit), earlier[fit], y[fit])
+            raw[out] = link.raw(bags.take(out), earlier[out])
         link = Link(bags, earlier, y)
         link.slope, link.shift = fit_platt(raw, y)
         held = sigmoid(link.slope * raw + link.shift)
@@ -142,8 +140,7 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def categories(texts: list[str], toxic: np.ndarray) -> dict[str, np.ndarray]:
     """The chain's targets, from the one label."""
-    bags = [words.bag(t) for t in texts]
-    strong = {f for f, odds in _evidence(bags, toxic.astype(float)).items() if odds > 3}
+    strong = {f for f, odds in _evidence(Bags.of(texts), toxic.astype(float)).items() if odds > 3}
     person = np.array([bool(PERSONS & {w.strip(".,!?") for w in t.lower().split()}) for t in texts], dtype=bool)
     several = np.array([sum(any(f in strong for f in words.features(w)) for w in set(t.lower().split())) >= 3 for t in texts], dtype=bool)
     on = toxic.astype(bool)

@@ -9,7 +9,7 @@ import numpy as np
 
 BITS = 20
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 100_000
 
 
 def features(token: str) -> list[int]:
@@ -21,11 +21,36 @@ def features(token: str) -> list[int]:
     return [zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in names]
 
 
-def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, number of the text's distinct tokens that have it), ordered by feature."""
-    ids = [f for t in set(text.lower().split()) for f in features(t)]
-    i, n = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
-    return i, n
+class Bags:
+    """Texts as triples of row, feature, and how many of the row's distinct tokens have the feature."""
+
+    def __init__(self, n: int, row: np.ndarray, col: np.ndarray, val: np.ndarray):
+        self.n, self.row, self.col, self.val = n, row, col, val
+
+    @staticmethod
+    def of(texts: list[str]) -> Bags:
+        known: dict[str, list[int]] = {}
+        rows, cols, vals = [], [], []
+        for i, text in enumerate(texts):
+            ids: list[int] = []
+            for t in set(text.lower().split()):
+                found = known.get(t)
+                if found is None:
+                    found = known[t] = features(t)
+                ids += found
+            col, val = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
+            rows.append(np.full(len(col), i))
+            cols.append(col)
+            vals.append(val)
+        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return Bags(len(texts), join(rows), join(cols), join(vals))
+
+    def take(self, rows: np.ndarray) -> Bags:
+        """Some of the rows, numbered anew."""
+        at = np.full(self.n, -1)
+        at[rows] = np.arange(len(rows))
+        on = at[self.row] >= 0
+        return Bags(len(rows), at[self.row[on]], self.col[on], self.val[on])
 
 
 class TokenWeights(dict):
