@@ -105,9 +105,9 @@ def test_scorer_equals_training_rows():
     rows = talk(200, 3)
     texts, y = [t for _, t, _ in rows], np.array([y for *_, y in rows])
     chain = toxicity.train_chain(texts, {"toxic": y.astype(bool)})
-    link = toxicity.Link([words.bag(t) for t in texts], np.zeros((200, 0)), y.astype(float))
+    link = toxicity.Link(words.Bags.of(texts), np.zeros((200, 0)), y.astype(float))
     slope, shift = chain.platt[0]
-    want = linear.sigmoid(slope * link.raw([words.bag(t) for t in texts], np.zeros((200, 0))) + shift)
+    want = linear.sigmoid(slope * link.raw(words.Bags.of(texts), np.zeros((200, 0))) + shift)
     assert np.allclose(chain.scorer()(texts)[:, 0], want)
 
 
