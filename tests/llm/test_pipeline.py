@@ -65,3 +65,12 @@ def test_run(spark, docs, rows, tmp_path):
             at += n
         assert at == 1024 or at & (at - 1) == 0
     assert np.all([r.doc_tokens > 0 for r in out]) and corpus_pipeline.ORACLE_SQL is None and ngram_join.SHARE == 85
+
+
+def test_odd_and_empty_tables(spark, docs, tmp_path):
+    from .conftest import ODD
+
+    for k, df in enumerate((docs(ODD), docs(ODD).limit(0), docs([(1, None, None, None)]))):
+        df.write.parquet(str(tmp_path / f"{k}" / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / f"{k}")).collect()
+        assert (len(out) > 0) == (k == 0)
