@@ -4,7 +4,8 @@ A text's vector is the mean embedding of its hashed 2-, 3- and 4-grams of lower-
 as a character; grams don't cross words). Embeddings and softmax are trained by stochastic gradient descent in
 numpy on a bounded sample: at most about ``PER_LANGUAGE`` labelled rows a language, of each a slice of at most
 ``SLICE`` characters. A fifth of the sample is kept out of training and sets the softmax' temperature and the
-rejection threshold: the score that all but ``REJECT_SHARE`` of its rows reach, 0.5 at most.
+rejection threshold: the score that all but ``REJECT_SHARE`` of its rows reach, ``REJECT_BELOW`` at most, so that a
+text of two languages stays.
 
 At prediction embeddings times softmax weights is one small table (buckets x languages), which is broadcast, so a
 whole text costs a table look-up a gram. Rows aren't shuffled.
@@ -32,7 +33,7 @@ PER_LANGUAGE = 400
 SLICE = 3_000
 EPOCHS = 4
 RATE = 0.4
-REJECT_SHARE = 0.001
+REJECT_SHARE, REJECT_BELOW = 0.001, 0.4
 UNDETERMINED = "und"
 #: Characters handled at once; bounds a worker's memory for long texts.
 CHUNK = 1 << 18
@@ -136,7 +137,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     rows = sorted(set(rows))
     languages = sorted({lang for lang, _ in rows})
     if not languages:
-        return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, 0.5)
+        return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, REJECT_BELOW)
     rng = np.random.default_rng(seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
     y = np.array([languages.index(lang) for lang, _ in rows])
@@ -168,7 +169,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
             b -= rate * 0.1 * g
             # A mean's gradient is spread over its grams; scaling by their number keeps rare grams learning.
             emb[ids] -= rate * np.minimum(part * len(ids), 5.0)[:, None] * back
-    model = Model(languages, (emb @ w).astype(np.float32), b, 1.0, 0.5)
+    model = Model(languages, (emb @ w).astype(np.float32), b, 1.0, REJECT_BELOW)
     held = np.flatnonzero(kept_out)
     if len(held) and len(languages) > 1:
         texts = [rows[i][1] for i in held]
@@ -177,7 +178,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
         model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
         top = _softmax(z / model.temperature).max(1)[n > 0]
         if len(top):
-            model.threshold = float(min(0.5, np.quantile(top, REJECT_SHARE)))
+            model.threshold = float(min(REJECT_BELOW, np.quantile(top, REJECT_SHARE)))
     return model
 
 
