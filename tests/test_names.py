@@ -175,7 +175,9 @@ def test_export_equals_the_column_form(spark):
     z, x, y = 11, 425, 776
     t, left, b, r = geometry.bounds(z, x, y)
     at = [(b - 1 + rng.random() * (t - b + 2), left - 1 + rng.random() * (r - left + 2)) for _ in range(40)]
-    xs, ys = geometry.export(segment(at), z, x, y)
+    begin, xs, ys = geometry.export([segment(at[:5]), segment(at), segment([None])], [(z, x, y)] * 3)
+    assert begin[0] == 0 and begin[2] == begin[3] == len(xs)
+    xs, ys = xs[begin[1] : begin[2]], ys[begin[1] : begin[2]]
     df = spark.createDataFrame([(k, *p) for k, p in enumerate(at)], "k int, lat double, lon double")
     tile = [F.lit(v) for v in (z, x, y)]
     px, py = geo.local_xy(F.col("lat"), F.col("lon"), *tile)
