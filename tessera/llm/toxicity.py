@@ -30,7 +30,7 @@ from .words import Bags
 
 PER_CLASS = 2_500
 SLICE = 12_000
-FOLDS = 5
+FOLDS, STEPS = 4, 200
 FEATURES = 2_000
 #: A feature is used if it is in so many texts of a class at least, and its log odds have so many standard errors.
 LEAST_TEXTS, LEAST_EVIDENCE = 4, 3.0
@@ -61,7 +61,7 @@ class Link:
     def __init__(self, bags: Bags, earlier: np.ndarray, y: np.ndarray):
         self.chosen = np.array(sorted(_evidence(bags, y)), np.int64)
         self.slope, self.shift = 1.0, 0.0
-        w, self.b = fit_logistic(self._rows(bags, earlier), y, l2=1.0)
+        w, self.b = fit_logistic(self._rows(bags, earlier), y, l2=1.0, steps=STEPS)
         self.words = dict(zip(self.chosen.tolist(), w[: len(self.chosen)], strict=True))
         self.earlier = w[len(self.chosen) :]
 
@@ -142,7 +142,9 @@ def categories(texts: list[str], toxic: np.ndarray) -> dict[str, np.ndarray]:
     """The chain's targets, from the one label."""
     strong = {f for f, odds in _evidence(Bags.of(texts), toxic.astype(float)).items() if odds > 3}
     person = np.array([bool(PERSONS & {w.strip(".,!?") for w in t.lower().split()}) for t in texts], dtype=bool)
-    several = np.array([sum(any(f in strong for f in words.features(w)) for w in set(t.lower().split())) >= 3 for t in texts], dtype=bool)
+    tokens = [set(t.lower().split()) for t in texts]
+    telling = {w for w in set().union(*tokens) if any(f in strong for f in words.features(w))}
+    several = np.array([len(t & telling) >= 3 for t in tokens], dtype=bool)
     on = toxic.astype(bool)
     return {"insult": on & person, "severe": on & several, "toxic": on}
 

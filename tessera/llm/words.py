@@ -39,16 +39,16 @@ class Bags:
                     found = known[t] = features(t)
                 ids += found
             col, val = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
-            rows.append(np.full(len(col), i))
-            cols.append(col)
-            vals.append(val)
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            rows.append(np.full(len(col), i, np.int32))
+            cols.append(col.astype(np.int32))
+            vals.append(val.astype(np.float32))
+        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int32)
         return Bags(len(texts), join(rows), join(cols), join(vals))
 
     def take(self, rows: np.ndarray) -> Bags:
         """Some of the rows, numbered anew."""
-        at = np.full(self.n, -1)
-        at[rows] = np.arange(len(rows))
+        at = np.full(self.n, -1, np.int32)
+        at[rows] = np.arange(len(rows), dtype=np.int32)
         on = at[self.row] >= 0
         return Bags(len(rows), at[self.row[on]], self.col[on], self.val[on])
 
