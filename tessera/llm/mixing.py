@@ -207,36 +207,59 @@ def plan(docs: DataFrame, seed: int = 0, text_col: str = "text", id_col: str = "
 
 
 def taken_per_document(rows: DataFrame, aims: DataFrame, drawn: DataFrame) -> DataFrame:
-    """A row a document: its size, its source's size and target, and how many of its words the mix takes."""
+    """A row a document: its size, its source's size and target, how many of its words the mix takes, and where they
+    went: an entry a shard, with the words there and the least slot of their blocks."""
     n_sources = aims.count()
     aims = _small(aims, n_sources)
     named = rows.join(aims, rows["source"].eqNullSafe(aims["source"])).select("doc_id", "tie", "sid", "size", "source_size", "target")
     keys = ["doc_id", "tie", "sid", "size"]
-    both = named.select(*keys, F.lit(1).alias("copy"), F.lit(0).cast("long").alias("words")).unionByName(drawn.select(*keys, F.lit(0).alias("copy"), "words"))
-    sums = both.groupBy(*keys).agg(F.sum("copy").alias("copies"), F.sum("words").alias("words"))
+    parts = drawn.groupBy(*keys, "shard").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
+    part = F.struct(F.col("shard").cast("int").alias("shard"), "slot", "words")
+    both = named.select(*keys, F.lit(1).alias("copy"), F.lit(None).cast("struct<shard:int,slot:bigint,words:bigint>").alias("part")).unionByName(
+        parts.select(*keys, F.lit(0).alias("copy"), part.alias("part"))
+    )
+    sums = both.groupBy(*keys).agg(F.sum("copy").alias("copies"), F.sort_array(F.collect_list("part")).alias("parts"))
     each = sums.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
-    share = F.expr("words div copies + if(copy < words % copies, 1, 0)")
-    return each.join(aims.select("sid", "source_size", "target"), "sid").select("doc_id", "size", "source_size", "target", share.cast("long").alias("taken"))
+
+    def share(n: Column) -> Column:  # of the first n words, those of this copy: every copies-th one
+        return F.floor(n / F.col("copies")).cast("long") + (F.col("copy") < n % F.col("copies")).cast("long")
+
+    def add(acc: Column, x: Column) -> Column:
+        upto = acc["upto"] + x["words"]
+        entry = F.struct(x["shard"].alias("shard"), x["slot"].alias("slot"), (share(upto) - share(acc["upto"])).alias("words"))
+        return F.struct(upto.alias("upto"), F.concat(acc["out"], F.array(entry)).alias("out"))
+
+    start = F.struct(F.lit(0).cast("long").alias("upto"), F.array().cast("array<struct<shard:int,slot:bigint,words:bigint>>").alias("out"))
+    each = each.withColumn("parts", F.aggregate("parts", start, add, lambda acc: F.filter(acc["out"], lambda x: x["words"] > 0)))
+    taken = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, x: acc + x["words"])
+    return each.join(aims.select("sid", "source_size", "target"), "sid").select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), F.col("parts").alias("by_shard")
+    )
 
 
 def mixed_documents(docs: DataFrame, seed: int = 0, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """``docs`` as the mix takes them, with all their columns: a document comes once for each pass that takes any of
-    its blocks, with the text of the blocks taken. Shards follow from ``plan``."""
+    """``docs`` as the mix takes them, with all their columns: a document comes once for each shard and pass that take
+    any of its blocks, with the text of those blocks. Each shard is a partition, in order of the least slots."""
     _, aims, drawn = plan(docs, seed, text_col, id_col, source_col)
+    drawn = written(drawn, "mix-drawn")
+    # Shards are numbered from 0 and each holds blocks.
+    shards = (drawn.agg(F.max("shard")).first()[0] or 0) + 1
     keys = ["__id", "__tie", "__source"]
     sources = _small(aims.select("sid", F.col("source").alias("__source")), aims.count())
-    times = drawn.groupBy("doc_id", "tie", "sid", "size", "block").agg(F.count("*").alias("times"))
-    per = times.groupBy("doc_id", "tie", "sid", "size").agg(F.sort_array(F.collect_list(F.struct("block", "times"))).alias("__taken"), F.max("times").alias("__times"))
-    per = per.join(sources, "sid").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__source", F.col("size").alias("__size"), "__taken", "__times")
+    turns = drawn.groupBy("doc_id", "tie", "sid", "size", "shard", "pass").agg(F.sort_array(F.collect_list("block")).alias("blocks"), F.min("slot").alias("slot"))
+    turn = F.struct(F.col("shard").cast("int").alias("shard"), "slot", "blocks")
+    per = turns.groupBy("doc_id", "tie", "sid", "size").agg(F.collect_list(turn).alias("__turns"))
+    per = per.join(sources, "sid").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__source", F.col("size").alias("__size"), "__turns")
     rows = docs.withColumns(dict(zip(keys, [F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)), F.col(source_col).cast("string")], strict=True)))
     # Repeated rows (same id, text and source) were counted together: one of them carries all their draws.
     repeated = rows.groupBy(*keys).count().filter("count > 1").head(1)
     rows = rows.dropDuplicates(keys) if repeated else rows
     same = rows["__id"].eqNullSafe(per["__id"]) & (rows["__tie"] == per["__tie"]) & rows["__source"].eqNullSafe(per["__source"])
-    out = rows.join(per, same).select(*(rows[c] for c in docs.columns), "__size", "__taken", F.explode(F.sequence(F.lit(1).cast("long"), "__times")).alias("__turn"))
-    blocks = F.filter("__taken", lambda x: x["times"] >= F.col("__turn"))
+    out = rows.join(per, same).select(*(rows[c] for c in docs.columns), "__size", F.explode("__turns").alias("__turn"))
     pieces = F.col("__pieces")
-    partial = F.array_join(F.transform(F.col("__blocks"), lambda x: F.get(pieces, x["block"].cast("int"))), "")
-    whole = F.size("__blocks") * BLOCK_WORDS >= F.col("__size")
-    out = out.withColumn("__blocks", blocks).withColumn("__pieces", F.when(~whole, block_texts(F.col(text_col))))
-    return out.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(partial)).select(*docs.columns)
+    partial = F.array_join(F.transform(F.col("__turn")["blocks"], lambda b: F.get(pieces, b.cast("int"))), "")
+    whole = F.size(F.col("__turn")["blocks"]) * BLOCK_WORDS >= F.col("__size")
+    out = out.withColumn("__pieces", F.when(~whole, block_texts(F.col(text_col))))
+    out = out.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(partial))
+    out = out.select(*docs.columns, F.col("__turn")["shard"].alias("__shard"), F.col("__turn")["slot"].alias("__slot"))
+    return out.repartitionById(shards, F.col("__shard")).sortWithinPartitions("__shard", "__slot").select(*docs.columns)

@@ -123,3 +123,31 @@ def test_blocks_join_to_the_text(spark):
     text = "  one two\tthree \n four five\x0bsix " + "x " * 1000
     blocks = spark.createDataFrame([(text,)], "t string").select(mixing.block_texts(F.col("t"), 4).alias("b")).first().b
     assert "".join(blocks) == text and all(size(b) <= 4 for b in blocks) and all(size(b) == 4 for b in blocks[:-1])
+
+
+def test_results_follow_the_leaf_quotas(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 16)
+    monkeypatch.setattr(mixing, "CELL_BLOCKS", 8)
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(size(t))), lang, s) for i, t, lang, s in corpus(np.random.default_rng(3), 120)]
+    df = docs([*rows, rows[5]])
+    parts = mixing.plan(df)
+    want, first = Counter(), {}
+    for r in sorted(parts[2].collect(), key=lambda r: r.slot):
+        want[r.shard, r.doc_id] += r.words
+        first.setdefault((r.shard, r.doc_id, r["pass"]), r.slot)
+    taken = mixing.taken_per_document(*parts).collect()
+    got = Counter()
+    for r in taken:
+        assert r.taken == sum(x.words for x in r.by_shard)
+        for x in r.by_shard:
+            got[x.shard, r.doc_id] += x.words
+            assert x.slot == min(v for (s, i, _), v in first.items() if (s, i) == (x.shard, r.doc_id))
+    assert got == want and len({s for s, _ in want}) > 2
+    out = mixing.mixed_documents(df).select("doc_id", "text", F.spark_partition_id().alias("shard")).collect()
+    told, order = Counter(), defaultdict(list)
+    for r in out:
+        told[r.shard, r.doc_id] += size(r.text)
+        order[r.shard].append(r.doc_id)
+    assert told == want
+    for shard, ids in order.items():
+        assert ids == [i for _, i in sorted((v, i) for (s, i, _), v in first.items() if s == shard)]
