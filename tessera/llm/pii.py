@@ -2,9 +2,10 @@
 
 The patterns find e-mail addresses, IPv4 addresses, payment cards (Luhn) and international phone numbers. The field
 adds what has no fixed form: secrets (keys, tokens, passwords), national phone numbers and identity numbers. It is
-trained on the small labelled table below and decoded by Viterbi over numpy batches of windows: the tokens within
-``REACH`` words of one that holds a digit, "@" or "=". Text outside windows has no personal data by definition of
-the operator, so plain prose costs one search. A span of the field that overlaps a pattern's is dropped.
+trained on the small labelled table below and decoded by Viterbi over all tokens of every text. Tokens whose own score
+outweighs whatever their neighbours' labels could add are "O" in every best sequence, and what lies between two of
+them is decoded by itself: the same labels as over the whole text, in numpy batches. A span of the field that overlaps
+a pattern's is dropped.
 
 Every pattern is written so that a failed start isn't tried again within the same run of characters: linear time
 in the text, whatever it holds. Rows aren't shuffled.
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -85,38 +87,12 @@ def patterns(text: str) -> list[Span]:
     return out
 
 
-# ---- tokens, windows and features -----------------------------------------------------------------------------
+# ---- tokens and features --------------------------------------------------------------------------------------
 
-REACH = 3
-_HIT = re.compile(r"[0-9@=]+")
 _TOKEN = re.compile(r"[^\W_]++(?:[._%+@/-]++[^\W_]++)*|[^\w\s]|_")
-_WORD = re.compile(r"\S+")
 FEATURE_BITS = 12
-#: Characters on either side of a hit within which its neighbouring words are looked for.
-SIDE = 64
-
-
-def windows(text: str) -> list[tuple[int, int]]:
-    """The stretches of text around tokens that may be personal data."""
-    out: list[list[int]] = []
-    for m in _HIT.finditer(text):
-        if out and m.end() <= out[-1][1]:
-            continue
-        left, right = max(0, m.start() - SIDE), min(len(text), m.end() + SIDE)
-        while left > 0 and not text[left - 1].isspace() and m.start() - left < 4 * SIDE:
-            left -= 1
-        while right < len(text) and not text[right].isspace() and right - m.end() < 4 * SIDE:
-            right += 1
-        words = [(w.start(), w.end()) for w in _WORD.finditer(text, left, right)]
-        before = [w for w in words if w[1] <= m.start()][-REACH:]
-        after = [w for w in words if w[0] >= m.end()][:REACH]
-        a = before[0][0] if before else min((w[0] for w in words), default=left)
-        b = after[-1][1] if after else max((w[1] for w in words), default=right)
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(b, out[-1][1])
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+#: Tokens decoded at once, and tokens whose scores are kept.
+GROUP_TOKENS, KEPT_TOKENS = 100_000, 200_000
 
 
 @lru_cache(maxsize=20_000)
@@ -128,7 +104,7 @@ def _shape(token: str) -> tuple[str, ...]:
     hexed = n >= 8 and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", token) is not None
     mixed = 0 < digits < n
     kind = "hex" if hexed and mixed else "mixed" if mixed and token.isalnum() else "number" if digits == n else "word" if token.isalpha() else "other"
-    sized = "1 2 3 4 5-7 8-11 12-15 16-19 20-31 32+".split()[int(np.searchsorted([1, 2, 3, 4, 7, 11, 15, 19, 31], n))]
+    sized = "1 2 3 4 5-7 8-11 12-15 16-19 20-31 32+".split()[bisect_left((1, 2, 3, 4, 7, 11, 15, 19, 31), n)]
     turns = len(re.findall(r"[A-Za-z]+|[0-9]+", token))
     out = [f"kind {kind}", f"{kind} {sized}", f"shape {runs[:12]}", f"digits {min(digits, 12)} {kind}", f"turns {min(turns, 8)}"]
     if mixed and token.isalnum() and token == token.upper():
@@ -146,13 +122,28 @@ def _shape(token: str) -> tuple[str, ...]:
 
 #: Words that announce personal data, by what they announce.
 CUES = {
-    **dict.fromkeys("token secret password passwd pwd key apikey api bearer auth credential".split(), "secret"),
+    **dict.fromkeys("token secret key apikey api auth credential".split(), "secret"),
+    **dict.fromkeys("password passwd pwd".split(), "password"),
+    "bearer": "bearer",
     **dict.fromkeys("phone tel telephone call mobile fax telefon teléfono téléphone".split(), "phone"),
     **dict.fromkeys("ssn social identity passport national".split(), "id"),
     **dict.fromkeys("version license page chapter figure table year section release".split(), "count"),
 }
 
 
+def _like(token: str) -> str:
+    """A token of the same features; one for all plain words of a length and case."""
+    if token.isascii() and token.isalpha() and token.lower() not in CUES:
+        n = min(len(token), 32)
+        if token.islower():
+            return "q" * n
+        if token.isupper():
+            return "Q" * n
+        if token[0].isupper() and token[1:].islower():
+            return "Q" + "q" * (n - 1)
+    return token
+
+
 @lru_cache(maxsize=40_000)
 def _ids(prefix: str, token: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(f"{prefix} {f}".encode()) & ((1 << FEATURE_BITS) - 1) for f in _shape(token))
@@ -236,15 +227,21 @@ class Field:
         return p, pairs
 
     def decode(self, rows: list[np.ndarray]) -> list[np.ndarray]:
-        """The best labels of each sequence: Viterbi, over batches of sequences of like length."""
+        """The best labels of each sequence, given its tokens' features."""
+        return self.best([self.w[r].sum(1) for r in rows])
+
+    def best(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+        """The best labels of each sequence, given its tokens' scores: Viterbi, over batches of sequences of like
+        length."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(rows)
         order = sorted((i for i in range(len(rows)) if len(rows[i])), key=lambda i: len(rows[i]))
         while order:
             size = len(rows[order[-1]])
             n = max(1, min(len(order), 20_000 // size))
             group, order = order[-n:], order[:-n]
-            x, on = _pad([rows[i] for i in group])
-            e = self.w[x].sum(2)
+            e, on = np.zeros((n, size, len(LABELS))), np.zeros((n, size), bool)
+            for g, i in enumerate(group):
+                e[g, : len(rows[i])], on[g, : len(rows[i])] = rows[i], True
             best, back = e[:, 0], np.zeros((len(group), size, len(LABELS)), np.int8)
             for i in range(1, size):
                 s = best[:, :, None] + self.t
@@ -258,6 +255,43 @@ class Field:
                 out[i] = y[g, : len(rows[i])]
         return out
 
+    def scores(self, tokens: list[str]) -> np.ndarray:
+        """(tokens, labels): what each token's features add to each label; sequences are set apart by two line feeds."""
+        known = self.__dict__.setdefault("known", {})
+        if len(known) > KEPT_TOKENS:
+            known.clear()
+        if not known:
+            self.kinds, self.parts = {}, np.zeros((0, 5, len(LABELS)))
+        added = []
+        for t in set(tokens).difference(known):
+            like = _like(t)
+            key = (_shape(like if len(like) <= 200 else like[:100] + like[-100:]), _shape(like[:200]))
+            if key not in self.kinds:
+                self.kinds[key] = len(self.kinds)
+                names = [(str(k), key[k != 0]) for k in (-2, -1, 0, 1, 2)]
+                added.append([self.w[[zlib.crc32(f"{p} {f}".encode()) & ((1 << FEATURE_BITS) - 1) for f in shape]].sum(0) for p, shape in names])
+            known[t] = self.kinds[key]
+        if added:
+            self.parts = np.concatenate([self.parts, np.array(added)])
+        at = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+        e = self.parts[at, 2]
+        for k in (-2, -1, 1, 2):
+            e[max(0, -k) : len(at) - max(0, k)] += self.parts[at[max(0, k) : len(at) + min(0, k)], k + 2]
+        return e
+
+    def labels(self, tokens: list[str], edge: np.ndarray) -> np.ndarray:
+        """The best labels of sequences set apart by line feeds, which ``edge`` marks."""
+        e = self.scores(tokens)
+        # What another label than "O" can gain at most from the labels before and after it, or from having none there.
+        gain = np.maximum(0, (self.t - self.t[:, :1]).max(0)) + np.maximum(0, (self.t - self.t[:1]).max(1))
+        sure = (e[:, :1] - e[:, 1:] > gain[1:] + 1e-6).all(1) & ~edge
+        y = np.zeros(len(tokens), np.int64)
+        open_ = np.flatnonzero(np.diff(np.concatenate([[0], (~sure & ~edge).view(np.int8), [0]])))
+        spans = [(a - 1 if a and sure[a - 1] else a, b + 1 if b < len(tokens) and sure[b] else b) for a, b in open_.reshape(-1, 2).tolist()]
+        for (a, b), found in zip(spans, self.best([e[a:b] for a, b in spans]), strict=True):
+            y[a:b] = np.where(sure[a:b], 0, found)
+        return y
+
 
 #: The labelled table: prose is "w" for any word; personal data stand in braces, as {label what}.
 TABLE = """
@@ -314,6 +348,28 @@ w "w" = "w" w
 w http://w.w/w/nnn?w=n w w
 w # w nnn w $n.nn w
 w nnnn$$$ w*** w### ip.ip.ip.ip### w
+w password: {secret letters} w w.
+w password= {secret letters} w w
+password={secret letters} w
+w bearer {secret letters} w w
+w bearer {secret letters}, w w
+w api key {secret letters} w w
+w apikey={secret letters} w
+w token: {secret letters} w w
+w w password w w w
+w password was w, w w
+w bearer w w, w w
+w secret long w w
+w token long w w
+w key: w w, w w
+w key: W w w
+w w long w long w.
+W long, w long: long w
+w LOUD LOUD!! LOUD LOUD!! LOUD w
+LOUD!! LOUD!! LOUD, LOUD!! LOUD.
+w! LOUD! LOUD!! w
+w w | w w | w
+w w. | W w w
 """
 
 
@@ -330,12 +386,14 @@ def labelled_table(copies: int = 12, seed: int = 11) -> list[tuple[list[str], li
     makers = {
         "hex40": lambda: pick(hexes, 40), "hex32": lambda: pick(hexes, 32), "hex18": lambda: pick(hexes, 18),
         "mixed12": lambda: alnum(lower + upper + digits, 12), "mixed10": lambda: alnum(lower + digits, 10), "mixed24": lambda: alnum(lower + upper + digits, 24),
+        "letters": lambda: pick(lower + upper, 1) + pick(lower if rng.random() < 0.7 else lower + upper, int(rng.integers(11, 24))),
+        "long": lambda: pick(lower + "éäñü", int(rng.integers(11, 18))), "LOUD": lambda: pick(upper + "ÉÄÑÜ", int(rng.integers(1, 12))),
         "upper20": lambda: pick(upper, 4) + alnum(digits + upper, 16), "caps20": lambda: pick(upper, 12) + pick(digits, 1) + pick(upper, 7),
         "area": lambda: pick("23456789", 1) + pick(digits, 2),
         "local": lambda: f"{pick(digits, 3)}-{pick(digits, 4)}", "local3": lambda: pick(digits, 3), "local4": lambda: pick(digits, 4),
         "ssn": lambda: f"{pick(digits, 3)}-{pick(digits, 2)}-{pick(digits, 4)}", "yyyy": lambda: f"{rng.integers(1800, 2030)}", "big": lambda: pick("123456789", 1) + pick(digits, 15),
     }
-    blanks = re.compile(r"\b(?:hex\d\d|mixed\d\d|upper20|caps20|area|local[34]?|ssn|yyyy|big)\b|\bip\b|\b[Ww](?=\b|n+\b)|(?<![a-z])n+(?![a-z])|(?<=mail)n|(?<=[Ww])n+\b")
+    blanks = re.compile(r"\b(?:hex\d\d|mixed\d\d|letters|long|LOUD|upper20|caps20|area|local[34]?|ssn|yyyy|big)\b|\bip\b|\b[Ww](?=\b|n+\b)|(?<![a-z])n+(?![a-z])|(?<=mail)n|(?<=[Ww])n+\b")
 
     def fill(text: str) -> str:
         def one(m: re.Match) -> str:
@@ -363,25 +421,37 @@ def labelled_table(copies: int = 12, seed: int = 11) -> list[tuple[list[str], li
     return rows
 
 
+def _spans(text: str, y: list[int]) -> list[Span]:
+    """The runs of like labels among the text's tokens."""
+    tokens, out, k = [m.span() for m in _TOKEN.finditer(text)], [], 0
+    while k < len(tokens):
+        j = k
+        while j + 1 < len(tokens) and y[j + 1] == y[k]:
+            j += 1
+        if y[k]:
+            out.append((LABELS[y[k]], tokens[k][0], tokens[j][1]))
+        k = j + 1
+    return out
+
+
 def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
     """What the field finds in each text."""
-    owner, starts, feats = [], [], []
-    for i, text in enumerate(texts):
-        for a, b in windows(text):
-            found = [(m.start(), m.end()) for m in _TOKEN.finditer(text, a, b)]
-            owner.append(i)
-            starts.append(found)
-            feats.append(featurise([text[s:e] for s, e in found]))
     out: list[list[Span]] = [[] for _ in texts]
-    for i, tokens, y in zip(owner, starts, field.decode(feats), strict=True):
-        k = 0
-        while k < len(tokens):
-            j = k
-            while j + 1 < len(tokens) and y[j + 1] == y[k]:
-                j += 1
-            if y[k]:
-                out[i].append((LABELS[y[k]], tokens[k][0], tokens[j][1]))
-            k = j + 1
+    tokens, held = ["\n", "\n"], []
+    for i, text in enumerate(texts):
+        found = _TOKEN.findall(text)
+        held.append((i, len(tokens), len(tokens) + len(found)))
+        tokens += found
+        tokens += ["\n", "\n"]
+        if len(tokens) >= GROUP_TOKENS or i + 1 == len(texts):
+            edge = np.ones(len(tokens), bool)
+            for _, a, b in held:
+                edge[a:b] = False
+            y = field.labels(tokens, edge)
+            for j, a, b in held:
+                if y[a:b].any():
+                    out[j] = _spans(texts[j], y[a:b].tolist())
+            tokens, held = ["\n", "\n"], []
     return out
 
 
