@@ -4,8 +4,8 @@ The patterns find e-mail addresses, IPv4 addresses, payment cards (Luhn) and int
 adds what has no fixed form: secrets (keys, tokens, passwords), national phone numbers and identity numbers. It is
 trained on the small labelled table below and decoded by Viterbi over all tokens of every text. Tokens whose own score
 outweighs whatever their neighbours' labels could add are "O" in every best sequence, and what lies between two of
-them is decoded by itself: the same labels as over the whole text, in numpy batches. A span of the field that overlaps
-a pattern's is dropped.
+them is decoded by itself: the same labels as over the whole text, in numpy batches. A span of the field that
+the patterns' spans cover is dropped; one that reaches beyond them stays beside them, and redaction takes the union.
 
 Every pattern is written so that a failed start isn't tried again within the same run of characters: linear time
 in the text, whatever it holds. Rows aren't shuffled.
@@ -370,6 +370,9 @@ LOUD!! LOUD!! LOUD, LOUD!! LOUD.
 w! LOUD! LOUD!! w
 w w | w w | w
 w w. | W w w
+w password={secret mailed} w w
+password={secret mailed}, w
+w password: {secret mailed} w
 """
 
 
@@ -386,6 +389,7 @@ def labelled_table(copies: int = 12, seed: int = 11) -> list[tuple[list[str], li
     makers = {
         "hex40": lambda: pick(hexes, 40), "hex32": lambda: pick(hexes, 32), "hex18": lambda: pick(hexes, 18),
         "mixed12": lambda: alnum(lower + upper + digits, 12), "mixed10": lambda: alnum(lower + digits, 10), "mixed24": lambda: alnum(lower + upper + digits, 24),
+        "mailed": lambda: f"{alnum(lower + digits, 4)}@{pick(lower, 5)}.com!{pick(lower, 1)}{pick(digits, 1)}",
         "letters": lambda: pick(lower + upper, 1) + pick(lower if rng.random() < 0.7 else lower + upper, int(rng.integers(11, 24))),
         "long": lambda: pick(lower + "éäñü", int(rng.integers(11, 18))), "LOUD": lambda: pick(upper + "ÉÄÑÜ", int(rng.integers(1, 12))),
         "upper20": lambda: pick(upper, 4) + alnum(digits + upper, 16), "caps20": lambda: pick(upper, 12) + pick(digits, 1) + pick(upper, 7),
@@ -393,7 +397,7 @@ def labelled_table(copies: int = 12, seed: int = 11) -> list[tuple[list[str], li
         "local": lambda: f"{pick(digits, 3)}-{pick(digits, 4)}", "local3": lambda: pick(digits, 3), "local4": lambda: pick(digits, 4),
         "ssn": lambda: f"{pick(digits, 3)}-{pick(digits, 2)}-{pick(digits, 4)}", "yyyy": lambda: f"{rng.integers(1800, 2030)}", "big": lambda: pick("123456789", 1) + pick(digits, 15),
     }
-    blanks = re.compile(r"\b(?:hex\d\d|mixed\d\d|letters|long|LOUD|upper20|caps20|area|local[34]?|ssn|yyyy|big)\b|\bip\b|\b[Ww](?=\b|n+\b)|(?<![a-z])n+(?![a-z])|(?<=mail)n|(?<=[Ww])n+\b")
+    blanks = re.compile(r"\b(?:hex\d\d|mixed\d\d|letters|mailed|long|LOUD|upper20|caps20|area|local[34]?|ssn|yyyy|big)\b|\bip\b|\b[Ww](?=\b|n+\b)|(?<![a-z])n+(?![a-z])|(?<=mail)n|(?<=[Ww])n+\b")
 
     def fill(text: str) -> str:
         def one(m: re.Match) -> str:
@@ -455,13 +459,21 @@ def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
     return out
 
 
+def _covered(span: Span, base: list[Span]) -> bool:
+    """Whether the base spans together hold the whole span."""
+    at = span[1]
+    for a, b in sorted((a, b) for _, a, b in base):
+        if a <= at:
+            at = max(at, b)
+    return at >= span[2]
+
+
 def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     """Of each text: the base spans, and all spans, by kind and start."""
     out = []
     for text, more in zip(texts, field_spans(texts, field), strict=True):
         base = patterns(text)
-        taken = sorted((a, b) for _, a, b in base)
-        added = [s for s in more if not any(a < s[2] and s[1] < b for a, b in taken)]
+        added = [s for s in more if not _covered(s, base)]
         out.append((base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1]))))
     return out
 

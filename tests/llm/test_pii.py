@@ -115,3 +115,19 @@ def test_all_tokens_are_decoded_as_one_sequence(field):
         tokens = pii._TOKEN.findall(text)
         y = field.decode([pii.featurise(tokens)])[0]
         assert spans == pii._spans(text, y.tolist())
+
+
+def test_secrets_around_base_spans_stay(field):
+    card = "a3f" + "4111111111111111" + "bc07de91f2a4b6c8d0e1f"
+    text = f'ea token = "{card}" thble'
+    base, spans = pii.find([text], field)[0]
+    a = text.index(card)
+    assert base == [("card", a + 3, a + 19)] and spans == [*base, ("secret", a, a + 40)]
+    assert pii.blank(text, spans) == 'ea token = "<SECRET>" thble'
+    inside = [[("card", 0, 16)], [("email", 0, 9), ("ip", 7, 16)]]
+    assert all(pii._covered(("secret", 2, 14), b) for b in inside) and not pii._covered(("secret", 2, 17), inside[1])
+    assert not pii._covered(("secret", 0, 5), [("ip", 1, 5)]) and not pii._covered(("secret", 0, 5), [])
+    for secret in ("ab12@host.com!x9", "x7Kq10.0.0.1mZ4w"):
+        text = f"ar password={secret} de"
+        base, spans = pii.find([text], field)[0]
+        assert len(base) == 1 and base[0] in spans and pii.blank(text, spans) == "ar password=<SECRET> de"
