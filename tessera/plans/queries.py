@@ -639,8 +639,8 @@ def _sql_overlap() -> str:
     )
 
 
-def map_store(spark: SparkSession, d: str, *zooms: int) -> Store:
-    """The driver's tables as a written store: named nodes, ways and relations with their places at some zooms."""
+def map_store(spark: SparkSession, d: str) -> Store:
+    """The driver's tables as a written store: named nodes, ways and relations with their places at all zooms."""
     rels, ranges, nds = relations(spark, d), way_bbox(spark, d), way_nds(spark, d)
     rel_range = ingest.relation_ranges(rels, ranges)
     nodes = node_coord(spark, d)
@@ -650,26 +650,26 @@ def map_store(spark: SparkSession, d: str, *zooms: int) -> Store:
     refs = refs.unionByName(ingest.placed_boxes(near(rel_range.withColumn("min_zoom", F.lit(10))), "rel", "rid"))
     tables = {
         "node_info": node_info(spark, d), "node_coord": nodes, "way_info": way_info(spark, d), "way_range": ranges, "way_nds": nds,
-        "tile_ref": refs.filter(F.col("zoom").isin(*zooms)), "rel_info": rels.select("rid", "nid", "class", "flags", "type", "name"),
+        "tile_ref": refs, "rel_info": rels.select("rid", "nid", "class", "flags", "type", "name"),
         "rel_members": ingest.kept_members(rels, rel_range), "rel_range": rel_range, "attr": max_changeset(spark, d),
     }
     return Store(spark, tables).settled()
 
 
 def make_tile(spark: SparkSession, d: str) -> DataFrame:
-    """A summary of all tiles of zoom 9 and 11."""
-    return tiler.summary(tiler.make_tiles(map_store(spark, d, 9, 11)))
+    """A summary of all tiles."""
+    return tiler.summary(tiler.make_tiles(map_store(spark, d)))
 
 
 def tile_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Tiles of zoom 9 as bytes and back."""
-    back = encode.decode_tiles(encode.encode_tiles(tiler.make_tiles(map_store(spark, d, 9))))
+    """Tiles as bytes and back."""
+    back = encode.decode_tiles(encode.encode_tiles(tiler.make_tiles(map_store(spark, d))))
     return tiler.summary(back.filter("error is null").drop("error"))
 
 
 def tile_text(spark: SparkSession, d: str) -> DataFrame:
-    """The text dump of the tiles of zoom 9."""
-    return tiler.text_dump(tiler.make_tiles(map_store(spark, d, 9)))
+    """The text dump of the tiles."""
+    return tiler.text_dump(tiler.make_tiles(map_store(spark, d)))
 
 
 def _drawn(spark: SparkSession, d: str, step: Callable[[geometry.Segment], None]) -> DataFrame:
@@ -718,7 +718,7 @@ def stitch(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tile_pixels(spark: SparkSession, d: str) -> DataFrame:
-    return tiler.pixels(tiler.make_tiles(map_store(spark, d, 9))).groupBy("kind").agg(F.count("*").alias("n"))
+    return tiler.pixels(tiler.make_tiles(map_store(spark, d))).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 def make_node_tiles(spark: SparkSession, d: str) -> DataFrame:
