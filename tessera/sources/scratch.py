@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a folder of our own only where the session names none."""
+    """The session's spark.checkpoint.dir. A folder of our own only where the session names none and runs on one
+    machine: on a cluster, executors would write to disks that nobody else reads."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="tessera-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -30,4 +33,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     recomputation."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of tables that ``written`` gave and that nothing will read again; others stay."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path:
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
