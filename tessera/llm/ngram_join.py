@@ -7,18 +7,19 @@ SHARE * union``, which is ``common >= need(n, m)``; linked sets share one of the
 1`` of either (prefix).
 
 1. Equal sets are one class, named by its least document id; only classes go on.
-2. Classes meet under each n-gram of their prefixes. There they are ordered by size; each is paired with the
-   ``NEAR`` before it, if sizes allow a link. A pair's meetings are counted, and the count and what either set has
-   left behind the end of the prefix that ends first bound its common n-grams from above: most pairs end here.
-3. Pairs that are left are decided exactly: a tree of the candidates' whole sets is traversed by the other set,
-   sharing overlaps of common beginnings and leaving subtrees that the remaining lengths rule out.
-4. Links give components. Under an n-gram with more than ``NEAR + 1`` classes, pairs further apart haven't met yet:
-   where such classes are in different components, prefix trees of blocks of ``BLOCK`` classes are traversed by
-   blocks of others, and what their bounds leave is decided as in 3. No pair within a component is looked at, so
-   a group of m near copies costs about m * NEAR pairs, and no link between components is lost.
+2. Classes meet under each n-gram of their prefixes. First links are looked for in ``ROUNDS`` rounds: under every
+   n-gram a class sees the one before it, by size and then by a hash, and of all it has seen it picks the one it
+   met most often. So a round decides one pair a class at most, and a group of m near copies costs m pairs.
+3. What the rounds have left: pairs in different components. Under an n-gram of up to ``NEAR + 1`` classes they are
+   listed; their meetings, and what either set has left behind the end of the prefix that ends first, bound their
+   common n-grams from above. Under a larger one prefix trees of blocks of classes are traversed by the classes
+   outside the n-gram's largest component, among classes whose sizes allow a link. No link between components is
+   lost, and no pair within a component is looked at.
+4. Pairs are decided exactly: a tree of the candidates' whole sets is traversed by the other set, sharing overlaps of
+   common beginnings and leaving subtrees that the remaining lengths rule out. Links give components.
 
 Under a very common n-gram classes are first dealt to ``salts`` groups by hash, so no task orders them all; pairs
-across groups are met in step 4.
+across groups are met in step 3.
 
 Defined cases: a text without words, or null, has an empty set, links with nothing and is its own component; a
 text of fewer words than n has one n-gram, all its words; rows of one id are one document (they share a
@@ -36,13 +37,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_below, small_batches, text_or_empty, written
+from .common import discard, fresh, hash_below, same_row, small_batches, text_or_empty, written
 from .components import connected
 
 WORDS, SHARE = 4, 85
-NEAR, BLOCK = 32, 1_024
+NEAR, BLOCK = 32, 512
+#: Rounds of first links, and the part of the lesser prefix in which a pair must have met to be picked.
+ROUNDS, PICK_SHARE = 2, 0.25
 #: Documents in the sample that sets the order, and in how many of them an n-gram must be to count as common.
-SAMPLE_ROWS, SAMPLE_CHARS, COMMON = 16_384, 65_536, 3
+SAMPLE_ROWS, COMMON = 16_384, 3
 #: Entries of the order's table of common n-grams at most (13 bytes each); the rarest beyond are left out.
 MOST_COMMON = 200_000
 #: Classes that one task should order under one n-gram.
@@ -130,7 +133,8 @@ def fit_order(docs: DataFrame, n: int = WORDS, text_col: str = "text", id_col: s
     if not total:
         return none
     fraction = min(1.0, SAMPLE_ROWS / total)
-    rows = docs.filter(hash_below(F.col(id_col), fraction, "n-gram order")).select(F.substring(text_or_empty(text_col), 1, SAMPLE_CHARS).alias("text")).distinct()
+    chosen = hash_below(F.col(id_col), fraction, "n-gram order", otherwise=F.col(text_col))
+    rows = docs.filter(chosen).select(text_or_empty(text_col).alias("text")).distinct()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
@@ -253,83 +257,119 @@ def _fits(a: str, b: str, share: int) -> str:
     return f"100 * least({a}, {b}) >= {share} * greatest({a}, {b})"
 
 
+def _prefix(n: str, share: int) -> str:
+    return f"({n} - ceil({share}L * {n} / 100.0) + 1)"
+
+
 def meetings(classes: DataFrame) -> DataFrame:
-    """Classes under the n-grams of their prefixes that another class has too, numbered by size."""
+    """Classes under the n-grams of their prefixes that another class has too, in order of size: each with the one
+    before it, and whether the n-gram is crowded (more than NEAR + 1 classes, or several groups)."""
     zipped = F.posexplode(F.arrays_zip("prefix", "salt")).alias("pos", "e")
     entries = classes.select("id", "n", F.element_at("prefix", -1).alias("last"), zipped).select("id", "n", "last", "pos", F.col("e.prefix").alias("gram"), F.col("e.salt").alias("salt"))
-    by = Window.partitionBy("gram", "salt").orderBy("n", "id")
-    placed = entries.withColumn("at", F.row_number().over(by)).withColumn("alone", F.lag("id").over(by).isNull() & F.lead("id").over(by).isNull())
+    group = Window.partitionBy("gram", "salt")
+    by = group.orderBy("n", "id")
+    placed = entries.withColumn("prev", F.lag(F.struct("id", "n")).over(by)).withColumn("at", F.row_number().over(by)).withColumn("size", F.count("*").over(group))
     # A class alone in its group may still have others in the n-gram's other groups.
-    return placed.filter(f"not alone or salt <> {UNSALTED}").drop("alone")
-
-
-def near_pairs(met: DataFrame, share: int = SHARE) -> DataFrame:
-    """Pairs at most NEAR places apart under some n-gram: how often they meet so, and their last places."""
-    by = Window.partitionBy("gram", "salt").orderBy("at").rowsBetween(-NEAR, -1)
-    pairs = met.withColumn("before", F.collect_list(F.struct("id", "n", "pos", "last")).over(by)).withColumn("o", F.explode("before")).filter(_fits("n", "o.n", share))
+    placed = placed.filter(f"size > 1 or salt <> {UNSALTED}")
+    return placed.withColumn("crowded", (F.col("size") > NEAR + 1) | (F.col("salt") != UNSALTED)).drop("size")
+
+
+def with_components(met: DataFrame, component: DataFrame | None) -> DataFrame:
+    """Adds ``c``, the component: a class without links is one of its own."""
+    if component is None:
+        return met.withColumn("c", F.col("id"))
+    few = component.count() <= MOST_BROADCAST
+    return met.join(F.broadcast(component) if few else component, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+
+
+def picks(met: DataFrame, share: int = SHARE) -> DataFrame:
+    """Pairs (a, b): for each class b the one that was before it, under the most n-grams, in another component. One
+    that it met in too small a part of their prefixes isn't worth the look: step 3 comes to all."""
+    seen = met.filter("prev is not null and prev.c <> c").filter(_fits("n", "prev.n", share)).groupBy("id", F.col("prev.id").alias("other"))
+    seen = seen.agg(F.count("*").alias("k"), F.max("n").alias("n"), F.max("prev.n").alias("m"))
+    seen = seen.filter(f"k >= {PICK_SHARE} * least({_prefix('n', share)}, {_prefix('m', share)})")
+    best = seen.groupBy("id").agg(F.max(F.struct("k", (-F.col("other")).alias("o"))).alias("best"))
+    return best.select((-F.col("best.o")).alias("a"), F.col("id").alias("b"))
+
+
+def listed_pairs(met: DataFrame, share: int = SHARE) -> DataFrame:
+    """Pairs in different components that meet under n-grams that aren't crowded: how often, and their last places.
+    ``met`` has components."""
+    by = Window.partitionBy("gram").orderBy("at").rowsBetween(-NEAR, -1)
+    before = F.collect_list(F.struct("id", "n", "pos", "last", "c")).over(by)
+    met = met.filter("not crowded").withColumn("before", before)
+    met = met.withColumn("before", F.expr(f"filter(before, o -> o.c <> c and {_fits('n', 'o.n', share)})")).filter("size(before) > 0")
+    pairs = met.withColumn("o", F.explode("before"))
     a, b = F.struct("id", "n", "pos", "last"), F.col("o")
     swap = F.col("id") < F.col("o.id")
-    pairs = pairs.select(F.when(swap, a).otherwise(b).alias("x"), F.when(swap, b).otherwise(a).alias("y"))
+    pairs = pairs.select(F.when(swap, a).otherwise(F.struct("o.id", "o.n", "o.pos", "o.last")).alias("x"), F.when(swap, F.struct("o.id", "o.n", "o.pos", "o.last")).otherwise(a).alias("y"))
     of = {f"{f}{s}": F.max(f"{v}.{c}").alias(f"{f}{s}") for s, v in (("a", "x"), ("b", "y")) for f, c in (("n", "n"), ("p", "pos"), ("l", "last"))}
     return pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), *of.values())
 
 
-def crowded(met: DataFrame) -> DataFrame:
-    """The meetings under n-grams where some classes are further than NEAR places apart, or in other groups."""
-    sizes = met.groupBy("gram").agg(F.count("*").alias("size"), F.max("salt").alias("salt")).filter((F.col("size") > NEAR + 1) | (F.col("salt") != UNSALTED))
-    return met.join(sizes.select("gram"), "gram")
+def crowds_of(met: DataFrame) -> DataFrame:
+    """The meetings under crowded n-grams that hold several components: with whether the class is outside the largest
+    of them (``minor``)."""
+    met = met.filter("crowded").select("gram", "id", "n", "c")
+    # A row a component and n-gram: the largest of an n-gram is found among these.
+    parts = met.groupBy("gram", "c").agg(F.count("*").alias("k"))
+    largest = parts.groupBy("gram").agg(F.max(F.struct("k", "c")).alias("best"), F.count("*").alias("several")).filter("several > 1")
+    return met.join(largest.select("gram", F.col("best.c").alias("most")), "gram").select("gram", "id", "n", (F.col("c") != F.col("most")).alias("minor"), "c")
 
 
 def bounded(pairs: DataFrame, crowds: DataFrame, share: int = SHARE) -> DataFrame:
-    """The pairs that can still be linked. Meetings in crowded n-grams may have gone uncounted, so as many as both
-    classes have there are allowed for."""
+    """The pairs that can still be linked. Meetings under crowded n-grams weren't counted, so as many as both classes
+    have there are allowed for."""
     unseen = crowds.groupBy("id").agg(F.count("*").alias("k"))
     p = pairs.join(unseen.withColumnsRenamed({"id": "a", "k": "ka"}), "a", "left").join(unseen.withColumnsRenamed({"id": "b", "k": "kb"}), "b", "left")
     p = p.withColumn("unseen", F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0))))
-    size = lambda n: f"({n} - ceil({share}L * {n} / 100.0) + 1)"  # noqa: E731  of a prefix
     first, exact = F.col("la") <= F.col("lb"), F.col("unseen") == 0
     # Behind the prefix that ends first; and in the other set behind the last meeting, if all meetings are known.
-    rest_a, rest_b = F.expr(f"na - {size('na')}"), F.expr(f"nb - {size('nb')}")
+    rest_a, rest_b = F.expr(f"na - {_prefix('na', share)}"), F.expr(f"nb - {_prefix('nb', share)}")
     rest_a = F.when(exact, F.least(rest_a, F.expr("nb - pb - 1"))).otherwise(rest_a)
     rest_b = F.when(exact, F.least(rest_b, F.expr("na - pa - 1"))).otherwise(rest_b)
     most = F.col("met") + F.col("unseen") + F.when(first, rest_a).otherwise(rest_b)
     return p.filter(most * (100 + share) >= F.expr(f"{share}L * (na + nb)")).select("a", "b")
 
 
-def far_pairs(crowds: DataFrame, prefixes: DataFrame, component: DataFrame, share: int = SHARE) -> DataFrame:
-    """Pairs of classes in different components that crowded n-grams hold and the prefixes' bounds leave."""
-    named = crowds.select("gram", "id", "n").join(component, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    mixed = named.groupBy("gram").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("size")).filter("c0 < c1")
-    members = named.join(mixed.select("gram", "size"), "gram").withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-    grams = members.groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("grams"))
-    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(prefixes.join(grams, "id"), "id")
-    pairs = members.withColumn("with", F.explode(F.expr("sequence(0, cast(blocks as int) - 1)"))).select(
-        "gram", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "id", "n", "c", "prefix", "grams"
-    )
+def far_pairs(crowds: DataFrame, prefixes: DataFrame, share: int = SHARE) -> DataFrame:
+    """Pairs of classes in different components that crowded n-grams hold and the prefixes' bounds leave.
+
+    Classes are kept by n-gram and size, in steps of SHARE; those outside the n-gram's largest component go as probes
+    to their own step and the ones beside it. Within a step, blocks of BLOCK classes meet blocks of BLOCK probes."""
+    step = F.floor(F.log("n") / (1.001 * F.log(F.lit(100 / share)))).cast("int")
+    sets = crowds.withColumn("step", step)
+    probes = sets.filter("minor").withColumn("step", F.explode(F.expr("sequence(step - 1, step + 1)")))
+    key = ["gram", "step"]
+    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).alias(name))
+    counts = blocks(sets, "sb").join(blocks(probes, "pb"), key)
+    dealt = lambda of: F.pmod(F.xxhash64("id"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.expr(f"sequence(0, cast({of} as int) - 1)"))
+    left = sets.join(counts, key).withColumn("i", dealt("sb")).withColumn("j", every("pb")).withColumn("probe", F.lit(False))
+    right = probes.join(counts, key).withColumn("j", dealt("pb")).withColumn("i", every("sb")).withColumn("probe", F.lit(True))
+    columns = [*key, "i", "j", "probe", "minor", "id", "n", "c"]
+    rows = left.select(columns).unionByName(right.select(columns)).join(prefixes, "id")
 
     def join(pdf):
         import pandas as pd
 
-        i, j, gram = pdf["i"].iloc[0], pdf["j"].iloc[0], pdf["gram"].iloc[0]
-        left, right = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
+        left, right = pdf[~pdf["probe"]], pdf[pdf["probe"]]
         take = lambda d: [np.asarray(x, np.int64) for x in d["prefix"]]
         li, ri, lc, rc = left["id"].to_numpy(), right["id"].to_numpy(), left["c"].to_numpy(), right["c"].to_numpy()
-        lg, rg = left["grams"].to_numpy(), right["grams"].to_numpy()
-        out = []
+        minor, out = left["minor"].to_numpy(), []
         if len(left) and len(right):
             for s, ok, _ in tree_join(take(left), left["n"].to_numpy(), take(right), right["n"].to_numpy(), share):
                 for q in ok[rc[ok] != lc[s]]:
-                    # A pair under several n-grams is given under the first.
-                    if (i != j or li[s] < ri[q]) and np.intersect1d(lg[s], rg[q])[0] == gram:
+                    # Two probes meet twice, as set and as probe.
+                    if not minor[s] or li[s] < ri[q]:
                         out.append((min(li[s], ri[q]), max(li[s], ri[q])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return pairs.groupBy("gram", "i", "j").applyInPandas(join, "a long, b long")
+    return rows.groupBy(*key, "i", "j").applyInPandas(join, "a long, b long").distinct()
 
 
-def decide(pairs: DataFrame, docs: DataFrame, order, n: int = WORDS, share: int = SHARE, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Of the pairs (a, b), those that are linked, by their whole sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def whole_sets(ids: DataFrame, docs: DataFrame, order, n: int = WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The whole sets of documents, by id, as bytes; of each row of a repeated id."""
     ids = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).join(ids, "id", "left_semi")
 
@@ -339,25 +379,47 @@ def decide(pairs: DataFrame, docs: DataFrame, order, n: int = WORDS, share: int
             sets = [ranks.keys(shingle(t))[0].tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "grams": pa.array(sets, pa.binary())})
 
-    sets = written(rows.mapInArrow(whole, "id long, grams binary"), "n-gram-sets")
-    pairs = pairs.join(sets.withColumnsRenamed({"id": "b", "grams": "gb"}), "b").join(sets.withColumnsRenamed({"id": "a", "grams": "ga"}), "a")
+    return rows.mapInArrow(whole, "id long, grams binary")
+
+
+def decide(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
+    """Of the pairs (a, b), those that are linked, by their whole sets. A set ``a`` comes once for up to BLOCK of its
+    partners, ahead of them; one such group and a batch is all a task holds."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    left = many.select("a", F.explode(F.expr("sequence(0, cast(blocks as int) - 1)")).alias("block"), F.lit(None).cast("long").alias("b")).join(sets.withColumnRenamed("id", "a"), "a")
+    dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b")
+    right = dealt.join(sets.withColumnRenamed("id", "b"), "b").select("a", "block", "b", "grams")
+    rows = left.select("a", "block", "b", "grams").unionByName(right)
+    rows = rows.repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            left, right, ga, gb = (b.column(k).to_pylist() for k in range(4))
-            out, k = [], 0
-            while k < len(left):
-                end = k
-                while end < len(left) and left[end] == left[k] and ga[end] == ga[k] and end - k < BLOCK:
-                    end += 1
-                probe = np.frombuffer(ga[k], np.int64)
-                cands = [np.frombuffer(g, np.int64) for g in gb[k:end]]
-                found = tree_join(cands, np.array([len(c) for c in cands]), [probe], np.array([len(probe)]), share)
-                out += [(left[k], right[k + s]) for s, _, _ in found]
-                k = end
-            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-
-    return pairs.select("a", "b", "ga", "gb").mapInArrow(check, "a long, b long")
+        group, probes, cands, names = None, [], [], []
+
+        def links() -> pa.RecordBatch:
+            out = set()
+            if probes and cands:
+                for s, _, _ in tree_join(cands, np.array([len(c) for c in cands]), probes, np.array([len(p) for p in probes]), share):
+                    out.add((group[0], names[s]))
+            out = sorted(out)
+            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+        for batch in batches:
+            for a, block, b, grams in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if (a, block) != group:
+                    yield links()
+                    group, probes, cands, names = (a, block), [], [], []
+                one = np.frombuffer(grams, np.int64)
+                if b is None:
+                    probes.append(one)
+                else:
+                    cands.append(one)
+                    names.append(b)
+                    if len(cands) >= 64:
+                        yield links()
+                        cands, names = [], []
+        yield links()
+
+    return rows.mapInArrow(check, "a long, b long")
 
 
 def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -370,14 +432,49 @@ def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: st
     classes = usable.groupBy("name").agg(F.min_by(F.struct("doc_id", "n", "prefix", "salt"), "doc_id").alias("r")).select("name", F.col("r.doc_id").alias("id"), "r.n", "r.prefix", "r.salt")
     classes = written(classes, "n-gram-classes")
     met = written(meetings(classes), "n-gram-meetings")
-    crowds = written(crowded(met), "n-gram-crowds")
-    found = written(decide(written(bounded(near_pairs(met, share), crowds, share), "n-gram-pairs"), docs, order, n, share, text_col, id_col), "n-gram-links")
-    component = connected(found)
-    far = written(far_pairs(crowds, classes.select("id", "prefix"), component, share), "n-gram-far")
-    if far.head(1):
-        more = written(decide(far, docs, order, n, share, text_col, id_col), "n-gram-links")
-        if more.head(1):
-            component = connected(found.unionByName(more))
+    component, sets, old = None, None, []
+    # An id whose rows hold different sets joins their classes.
+    several = usable.groupBy("doc_id").agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a < b").select("doc_id")
+    several = written(several, "n-gram-repeated")
+    if several.head(1):
+        held = usable.join(several, "doc_id").select("doc_id", "name").distinct().join(classes.select("name", "id"), "name")
+        component = written(connected(held.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))), "n-gram-components")
+
+    def linked(pairs: DataFrame) -> bool:
+        """Decides pairs and joins what is linked to the components; the sets of earlier pairs are still there."""
+        nonlocal component, sets
+        pairs = written(pairs, "n-gram-pairs")
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        if sets is not None:
+            ids = ids.join(sets.select("id"), "id", "left_anti")
+        more = written(whole_sets(ids, docs, order, n, text_col, id_col), "n-gram-sets")
+        old.append(more)
+        sets = more if sets is None else sets.unionByName(more)
+        found = written(decide(pairs, sets, share), "n-gram-links")
+        discard(pairs)
+        if not found.head(1):
+            return False
+        links = found if component is None else found.unionByName(component.select(F.col("component").alias("a"), F.col("id").alias("b")))
+        component = written(connected(links), "n-gram-components")
+        discard(found)
+        return True
+
+    for k in range(ROUNDS):
+        placed = with_components(met, component)
+        if k == 0 and component is None:
+            placed = placed.withColumn("prev", F.when(F.col("prev").isNotNull(), F.struct("prev.id", "prev.n", F.col("prev.id").alias("c"))))
+        else:
+            by = Window.partitionBy("gram", "salt").orderBy(F.xxhash64("id", F.lit(k)), "id")
+            placed = placed.withColumn("prev", F.lag(F.struct("id", "n", "c")).over(by))
+        linked(picks(placed, share))
+    placed = with_components(met, component)
+    crowds = written(crowds_of(placed), "n-gram-crowds")
+    near = bounded(listed_pairs(placed, share), crowds, share)
+    far = far_pairs(crowds, classes.select("id", "prefix"), share)
+    linked(near.unionByName(far).distinct())
+    discard(met, crowds, *old)
+    if component is None:
+        component = spark.createDataFrame([], "id long, component long")
     # Classes of one document without links need no entry: their row names itself.
     several = usable.groupBy("name").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
     names = several.join(component, "id", "left").filter("component is not null or id < last").select("name", F.coalesce("component", "id").alias("component"))
@@ -387,14 +484,20 @@ def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: st
 
 
 def keep_one(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component, its least id; rows without an id or words all stay."""
+    """``docs`` with one document of each component, its least id. Rows without an id or words all stay; of rows that
+    repeat an id and its text one stays, and an id's different texts all do."""
     found = written(components(docs, n, share, text_col, id_col), "n-gram-components")
-    gone = found.filter("component_id < doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
-    again = found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().filter("count > 1").head(1)
-    if not again:
+    (gone_id,) = fresh(docs, "gone")
+    matched = lambda ids: F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    me = docs[id_col].cast("long")
+    gone = matched(found.filter("component_id < doc_id").select(F.col("doc_id").alias(gone_id)).distinct())
+    kept = docs.join(gone, me == gone[gone_id], "left_anti")
+    again = written(found.filter("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias(gone_id)).count().filter("count > 1").select(gone_id), "n-gram-repeated")
+    if not again.head(1):
         return kept
-    # Rows that repeat an id: one stays.
-    nameless = kept.filter(F.col(id_col).isNull())
-    return kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(nameless)
+    again = matched(again)
+    once, several = kept.join(again, me == again[gone_id], "left_anti"), kept.join(again, me == again[gone_id], "left_semi")
+    wordless = F.trim(F.translate(text_or_empty(text_col), "\t\n\x0b\x0c\r", "     ")) == ""
+    row = F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), same_row(docs)).alias("row")
+    one = several.filter(~wordless).groupBy(F.col(id_col).cast("long"), F.xxhash64(text_col)).agg(row).select("row.*")
+    return once.unionByName(several.filter(wordless)).unionByName(one)

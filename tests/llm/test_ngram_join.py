@@ -11,6 +11,8 @@ from tessera.llm.ngram_join import need, prefix_length, tree_join
 
 from .conftest import ODD
 
+components_decide = ngram_join.decide
+
 
 def all_pairs(rows, n=4, share=85):
     """id -> (size, component), by comparing every two documents."""
@@ -94,6 +96,44 @@ def test_components_equal_all_pairs(docs, monkeypatch, near, block, group):
     assert got == all_pairs([(i, t) for i, t, *_ in rows])
 
 
+@pytest.mark.parametrize("near", [1, 32])
+def test_groups_of_near_copies(docs, monkeypatch, near):
+    """Large groups of near copies, with and without the rounds that link most of them, beside a shared passage."""
+    monkeypatch.setattr(ngram_join, "NEAR", near)
+    monkeypatch.setattr(ngram_join, "ROUNDS", 2 if near == 32 else 0)
+    rows = corpus(77, families=3, copies=70, words=80)
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.components(docs(rows)).collect()}
+    assert got == all_pairs([(i, t) for i, t, *_ in rows])
+
+
+def test_pairs_grow_with_the_group(docs, spark, monkeypatch):
+    """A group of m near copies is linked by about m pairs, not m * m."""
+    decided = []
+    monkeypatch.setattr(ngram_join, "decide", lambda pairs, *a: decided.append(pairs.count()) or real(pairs, *a))
+    real = components_decide
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(120)]
+    for m in (60, 120):
+        decided.clear()
+        rows = []
+        for i in range(m):
+            t = list(base)
+            t[rng.randrange(120)] = f"e{i}"
+            rows.append((i, " ".join(t), "en", "s"))
+        got = ngram_join.components(docs(rows)).collect()
+        assert {r.component_id for r in got} == {0} and sum(decided) <= 3 * m
+
+
+def test_ids_of_several_texts(docs):
+    """An id's rows share a component, so they join those of their texts."""
+    a, b, c = ("alpha beta gamma delta one", "other words stand here now", "third text of its own here")
+    rows = [(3, a, "en", "s"), (4, a, "en", "s"), (4, b, "en", "s"), (9, b, "en", "s"), (12, c, "en", "s"), (12, c, "en", "s")]
+    got = {(r.doc_id, r.component_id) for r in ngram_join.components(docs(rows)).collect()}
+    assert got == {(3, 3), (4, 3), (9, 3), (12, 12)}
+    kept = ngram_join.keep_one(docs([(1, a, "en", "s"), (1, b, "en", "s"), (1, b, "en", "s"), (1, " ", "en", "s"), (1, " ", "en", "s")], extra=("gone", "a", "id", "row")))
+    assert sorted(r.text for r in kept.collect()) == sorted([a, b, " ", " "])
+
+
 def test_odd_rows(docs):
     got = ngram_join.components(docs(ODD, extra=("n", "name", "component"))).collect()
     assert len(got) == len(ODD)
