@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -124,6 +125,31 @@ def test_clip_thins_one_side():
     assert len(alone.nodes) < 3
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), spots), min_size=3, max_size=12), st.booleans())
+def test_clip_node_by_node(at, loop):
+    """Against the rule said of one node at a time."""
+    nodes = list(range(len(at)))
+    if loop:
+        nodes[-1], at[-1] = nodes[0], at[0]
+    s = segment(at, list(nodes))
+    geometry.clip(s, BOX)
+    way = [None if p is None else int(geometry.directions(np.array(p[0]), np.array(p[1]), BOX)) for p in at]
+    if loop:
+        way[0] = way[-1] = None if at[0] is None else geometry.INSIDE
+
+    def neighbour(k, step):
+        j = k + step
+        while 0 <= j < len(at) and way[j] is None:
+            j += step
+        if 0 <= j < len(at):
+            return way[j]
+        return way[k] if k in (0, len(at) - 1) else geometry.INSIDE
+
+    stays = [k for k in range(len(at)) if way[k] in (None, geometry.INSIDE) or not way[k] == neighbour(k, -1) == neighbour(k, 1)]
+    assert s.nodes == [nodes[k] for k in stays]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.none(), spots), min_size=1, max_size=30), st.floats(0, 300_000))
 def test_sample_keeps_the_ends(at, least):
