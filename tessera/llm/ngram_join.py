@@ -7,9 +7,11 @@ SHARE * union``, which is ``common >= need(n, m)``; linked sets share one of the
 1`` of either (prefix).
 
 1. Equal sets are one class, named by its least document id; only classes go on.
-2. Classes meet under each n-gram of their prefixes. First links are looked for in ``ROUNDS`` rounds: under every
-   n-gram a class sees the one before it, by size and then by a hash, and of all it has seen it picks the one it
-   met most often. So a round decides one pair a class at most, and a group of m near copies costs m pairs.
+2. Classes meet under each n-gram of their prefixes. First links are looked for in two rounds. Under every n-gram a
+   class sees one other: first the n-gram's hub, in whose order it comes soonest (near copies have n-grams of their
+   own ahead of what they share, the more the more they differ, so a hub is next to the copies' origin); then the
+   class before it by size. Of all it has seen it picks the one it met most often. So a round decides one pair a
+   class at most, and a group of m near copies costs m pairs.
 3. What the rounds have left: pairs in different components. Under an n-gram of up to ``NEAR + 1`` classes they are
    listed; their meetings, and what either set has left behind the end of the prefix that ends first, bound their
    common n-grams from above. Under a larger one prefix trees of blocks of classes are traversed by the classes
@@ -42,8 +44,8 @@ from .components import connected
 
 WORDS, SHARE = 4, 85
 NEAR, BLOCK = 32, 512
-#: Rounds of first links, and the part of the lesser prefix in which a pair must have met to be picked.
-ROUNDS, PICK_SHARE = 2, 0.25
+#: The part of the lesser prefix in which a pair must have met to be picked.
+PICK_SHARE = 0.25
 #: Documents in the sample that sets the order, and in how many of them an n-gram must be to count as common.
 SAMPLE_ROWS, COMMON = 16_384, 3
 #: Entries of the order's table of common n-grams at most (13 bytes each); the rarest beyond are left out.
@@ -262,13 +264,13 @@ def _prefix(n: str, share: int) -> str:
 
 
 def meetings(classes: DataFrame) -> DataFrame:
-    """Classes under the n-grams of their prefixes that another class has too, in order of size: each with the one
-    before it, and whether the n-gram is crowded (more than NEAR + 1 classes, or several groups)."""
+    """Classes under the n-grams of their prefixes that another class has too, in order of size: each with the
+    n-gram's hub, and whether the n-gram is crowded (more than NEAR + 1 classes, or several groups)."""
     zipped = F.posexplode(F.arrays_zip("prefix", "salt")).alias("pos", "e")
     entries = classes.select("id", "n", F.element_at("prefix", -1).alias("last"), zipped).select("id", "n", "last", "pos", F.col("e.prefix").alias("gram"), F.col("e.salt").alias("salt"))
     group = Window.partitionBy("gram", "salt")
     by = group.orderBy("n", "id")
-    placed = entries.withColumn("prev", F.lag(F.struct("id", "n")).over(by)).withColumn("at", F.row_number().over(by)).withColumn("size", F.count("*").over(group))
+    placed = entries.withColumn("hub", F.min(F.struct("pos", "id", "n")).over(group)).withColumn("at", F.row_number().over(by)).withColumn("size", F.count("*").over(group))
     # A class alone in its group may still have others in the n-gram's other groups.
     placed = placed.filter(f"size > 1 or salt <> {UNSALTED}")
     return placed.withColumn("crowded", (F.col("size") > NEAR + 1) | (F.col("salt") != UNSALTED)).drop("size")
@@ -283,12 +285,12 @@ def with_components(met: DataFrame, component: DataFrame | None) -> DataFrame:
 
 
 def picks(met: DataFrame, share: int = SHARE) -> DataFrame:
-    """Pairs (a, b): for each class b the one that was before it, under the most n-grams, in another component. One
-    that it met in too small a part of their prefixes isn't worth the look: step 3 comes to all."""
-    seen = met.filter("prev is not null and prev.c <> c").filter(_fits("n", "prev.n", share)).groupBy("id", F.col("prev.id").alias("other"))
-    seen = seen.agg(F.count("*").alias("k"), F.max("n").alias("n"), F.max("prev.n").alias("m"))
+    """Pairs (a, b): for each class b the one that it has seen (``other``) under the most n-grams, in another
+    component. One that it met in too small a part of their prefixes isn't worth the look: step 3 comes to all."""
+    seen = met.filter("other is not null and other.c <> c").filter(_fits("n", "other.n", share)).groupBy("id", F.col("other.id").alias("o"))
+    seen = seen.agg(F.count("*").alias("k"), F.max("n").alias("n"), F.max("other.n").alias("m"))
     seen = seen.filter(f"k >= {PICK_SHARE} * least({_prefix('n', share)}, {_prefix('m', share)})")
-    best = seen.groupBy("id").agg(F.max(F.struct("k", (-F.col("other")).alias("o"))).alias("best"))
+    best = seen.groupBy("id").agg(F.max(F.struct("k", (-F.col("o")).alias("o"))).alias("best"))
     return best.select((-F.col("best.o")).alias("a"), F.col("id").alias("b"))
 
 
@@ -348,24 +350,25 @@ def far_pairs(crowds: DataFrame, prefixes: DataFrame, share: int = SHARE) -> Dat
     left = sets.join(counts, key).withColumn("i", dealt("sb")).withColumn("j", every("pb")).withColumn("probe", F.lit(False))
     right = probes.join(counts, key).withColumn("j", dealt("pb")).withColumn("i", every("sb")).withColumn("probe", F.lit(True))
     columns = [*key, "i", "j", "probe", "minor", "id", "n", "c"]
-    rows = left.select(columns).unionByName(right.select(columns)).join(prefixes, "id")
+    met = crowds.groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("grams"))
+    rows = left.select(columns).unionByName(right.select(columns)).join(prefixes.join(met, "id"), "id")
 
     def join(pdf):
         import pandas as pd
 
-        left, right = pdf[~pdf["probe"]], pdf[pdf["probe"]]
+        left, right, gram = pdf[~pdf["probe"]], pdf[pdf["probe"]], pdf["gram"].iloc[0]
         take = lambda d: [np.asarray(x, np.int64) for x in d["prefix"]]
         li, ri, lc, rc = left["id"].to_numpy(), right["id"].to_numpy(), left["c"].to_numpy(), right["c"].to_numpy()
-        minor, out = left["minor"].to_numpy(), []
+        minor, lg, rg, out = left["minor"].to_numpy(), left["grams"].to_numpy(), right["grams"].to_numpy(), []
         if len(left) and len(right):
             for s, ok, _ in tree_join(take(left), left["n"].to_numpy(), take(right), right["n"].to_numpy(), share):
                 for q in ok[rc[ok] != lc[s]]:
-                    # Two probes meet twice, as set and as probe.
-                    if not minor[s] or li[s] < ri[q]:
+                    # Two probes meet twice, as set and as probe; a pair under several n-grams counts under the first.
+                    if (not minor[s] or li[s] < ri[q]) and np.intersect1d(lg[s], rg[q])[0] == gram:
                         out.append((min(li[s], ri[q]), max(li[s], ri[q])))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy(*key, "i", "j").applyInPandas(join, "a long, b long").distinct()
+    return rows.groupBy(*key, "i", "j").applyInPandas(join, "a long, b long")
 
 
 def whole_sets(ids: DataFrame, docs: DataFrame, order, n: int = WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -459,14 +462,9 @@ def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: st
         discard(found)
         return True
 
-    for k in range(ROUNDS):
-        placed = with_components(met, component)
-        if k == 0 and component is None:
-            placed = placed.withColumn("prev", F.when(F.col("prev").isNotNull(), F.struct("prev.id", "prev.n", F.col("prev.id").alias("c"))))
-        else:
-            by = Window.partitionBy("gram", "salt").orderBy(F.xxhash64("id", F.lit(k)), "id")
-            placed = placed.withColumn("prev", F.lag(F.struct("id", "n", "c")).over(by))
-        linked(picks(placed, share))
+    linked(picks(with_components(met, None).withColumn("other", F.struct("hub.id", "hub.n", F.col("hub.id").alias("c"))), share))
+    by = Window.partitionBy("gram", "salt").orderBy("at")
+    linked(picks(with_components(met, component).withColumn("other", F.lag(F.struct("id", "n", "c")).over(by)), share))
     placed = with_components(met, component)
     crowds = written(crowds_of(placed), "n-gram-crowds")
     near = bounded(listed_pairs(placed, share), crowds, share)
