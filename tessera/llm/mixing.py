@@ -8,7 +8,11 @@ half a block. So each source has an exact quota of blocks.
 The quotas are split among output shards of equal block counts by a binary tree: at each node the left half's
 blocks are a multivariate-hypergeometric draw from the node's quotas, source by source. A source's drawn blocks, in
 their random order, then go to the shards as its quotas in them say: shards get disjoint blocks, and each orders
-its own by a hash.
+its own by a hash. There are at least ``LEAST_SHARDS``, and more with more blocks, without a limit.
+
+Draws invert the distribution term by term over eight standard deviations on either side of the mean; what lies
+beyond has a probability under 1e-12. That takes 16 terms a standard deviation, which is at most a quarter of the
+root of a node's blocks: a million terms for the root of a tree over 100 TB, and few for the many nodes below.
 
 Random order means by hash. A source's blocks are dealt to cells of about ``CELL_BLOCKS`` by the hash, cells are
 numbered by running sums over cells, and only within a cell are blocks sorted: no task orders a whole source. All
@@ -24,19 +28,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import fresh, same_row, text_or_empty, written
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCK_WORDS = 256
 CELL_BLOCKS = 4_096
-#: Blocks that a shard holds at least; there are MOST_SHARDS at most.
-SHARD_BLOCKS, MOST_SHARDS = 4_096, 4_096
+#: Blocks that a shard holds at least (about 100 MB of text), where that gives LEAST_SHARDS or more.
+SHARD_BLOCKS, LEAST_SHARDS = 65_536, 16
+#: Partitions of the mixed table at most; beyond, several shards follow one another in a partition.
+MOST_PARTITIONS = 65_536
 #: Sources, by number, that may be broadcast as a table of a few numbers each.
 MOST_BROADCAST = 50_000
-#: Standard deviation up to which a hypergeometric draw inverts its distribution term by term; beyond it, a normal
-#: deviate of the same mean and variance is rounded.
-EXACT_DEVIATION = 16.0
 
 SPACE, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
@@ -92,7 +95,7 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, *keys: Column)
     dev = F.sqrt(F.greatest(F.lit(0.0), mean * (1 - k / F.greatest(n, F.lit(1.0))) * (n - m) / F.greatest(n - 1, F.lit(1.0))))
     first = F.greatest(low, F.floor(mean - 8 * dev - 2).cast("double"))
     last = F.least(high, F.ceil(mean + 8 * dev + 2).cast("double"))
-    steps = F.sequence(F.lit(0), F.least(last - first, F.lit(16 * EXACT_DEVIATION + 8)).cast("int"))
+    steps = F.sequence(F.lit(0), (last - first).cast("int"))
 
     def start(goal: Column) -> Column:  # what doesn't change is carried along, since a step would work it out again
         return F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"), F.lit(0).alias("below"), first.alias("first"), goal.alias("goal"))
@@ -108,9 +111,7 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, *keys: Column)
     u = _uniform(*keys)
     mass = F.aggregate(steps, start(F.lit(0.0)), step, lambda acc: acc["sum"])
     exact = first + F.aggregate(steps, start(u * mass), step, lambda acc: acc["below"])
-    normal = sum((_uniform(*keys, F.lit(j)) for j in range(1, 12)), u) - 6.0
-    rough = F.least(high, F.greatest(low, F.round(mean + dev * normal)))
-    return F.when(low >= high, low).when(dev <= EXACT_DEVIATION, exact).otherwise(rough).cast("long")
+    return F.when(low >= high, low).otherwise(exact).cast("long")
 
 
 def _halved(nodes: DataFrame, *keys: Column) -> DataFrame:
@@ -177,28 +178,31 @@ def draw_blocks(rows: DataFrame, aims: DataFrame, seed: int = 0, block_words: in
     # One array with a number for each source: as many as the sources.
     quotas = whole.agg(F.transform(F.sort_array(F.collect_list(F.struct("sid", "quota"))), lambda x: x["quota"]).alias("q"))
     total = counts.agg(F.sum("quota")).first()[0] or 0
-    depth = max(0, min(MOST_SHARDS, total // SHARD_BLOCKS).bit_length() - 1) if total >= SHARD_BLOCKS else 0
+    depth = max(1, min(total, max(LEAST_SHARDS, total // SHARD_BLOCKS))).bit_length() - 1
     leaves = split_quotas(quotas, depth, seed).select("leaf", F.posexplode("q").alias("sid", "q"))
-    bounds = leaves.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("leaf", "q"))).alias("a"))
-    # The place at which each shard's part of the source ends.
-    ends = F.aggregate("a", F.array().cast("array<long>"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + x["q"])))
-    bounds = written(bounds.select("sid", ends.alias("ends")), "mix-shards")
-    shards = 1 << depth
-    taken = placed.join(F.broadcast(bounds) if n_sources * shards <= MOST_BROADCAST * 10 else bounds, "sid")
-    taken = taken.withColumn("pass", F.explode(F.expr("sequence(0L, passes + extra - 1)"))).withColumn("at", F.col("pass") * F.col("blocks") + F.col("place"))
-
-    def halve(acc: Column, _: Column) -> Column:  # the first shard whose end lies beyond "at"
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        beyond = F.get(F.col("ends"), mid) > F.col("at")
-        return F.struct(F.when(beyond, acc["lo"]).otherwise(mid + 1).alias("lo"), F.when(beyond, mid).otherwise(acc["hi"]).alias("hi"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(shards - 1).alias("hi"))
-    shard = F.aggregate(F.sequence(F.lit(1), F.lit(max(1, depth))), start, halve, lambda acc: acc["lo"]) if depth else F.lit(0)
-    return taken.withColumn("shard", shard).select(
+    parts, n_parts = shard_parts(leaves, 1 << depth)
+    # Each draw looks its shard up among the few parts of its source that begin or end near it.
+    widths = parts.select("sid", "width").distinct()
+    taken = placed.join(_small(widths, n_sources), "sid").withColumn("pass", F.explode(F.expr("sequence(0L, passes + extra - 1)")))
+    taken = taken.withColumn("at", F.col("pass") * F.col("blocks") + F.col("place")).withColumn("span", F.expr("at div width")).drop("width")
+    parts = F.broadcast(parts) if n_parts <= MOST_BROADCAST * 10 else parts
+    taken = taken.join(parts.select("sid", "span", "shard", "start", "end"), ["sid", "span"]).filter("start <= at and at < end")
+    return taken.select(
         "doc_id", "tie", "sid", "size", "block", "words", "pass", "shard", F.xxhash64(F.lit(seed), "h", "pass", F.lit("slot")).alias("slot")
     )
 
 
+def shard_parts(leaves: DataFrame, shards: int) -> tuple[DataFrame, int]:
+    """Where each shard's part of a source begins and ends among the source's draws, and how many rows that takes: a
+    row for each span of ``width`` draws that the part touches, an average part's length."""
+    ahead = Window.partitionBy("sid").orderBy("leaf")
+    sums = leaves.groupBy("sid").agg(F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("q") / shards)).alias("width"))
+    parts = leaves.filter("q > 0").withColumn("end", F.sum("q").over(ahead)).withColumn("start", F.col("end") - F.col("q")).join(sums, "sid")
+    spans = F.explode(F.expr("sequence(start div width, (end - 1) div width)"))
+    parts = written(parts.select("sid", F.col("leaf").alias("shard"), "start", "end", "width", spans.alias("span")), "mix-shards")
+    return parts, parts.count()
+
+
 def plan(docs: DataFrame, seed: int = 0, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sized rows, targets by source, blocks drawn)."""
     rows = written(sized(docs, text_col, id_col, source_col), "mix-rows")
@@ -239,27 +243,31 @@ def taken_per_document(rows: DataFrame, aims: DataFrame, drawn: DataFrame) -> Da
 
 def mixed_documents(docs: DataFrame, seed: int = 0, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """``docs`` as the mix takes them, with all their columns: a document comes once for each shard and pass that take
-    any of its blocks, with the text of those blocks. Each shard is a partition, in order of the least slots."""
+    any of its blocks, with the text of those blocks. Each shard is a partition, in order of the least slots (beyond
+    MOST_PARTITIONS, several shards are). Repeated rows (same id, text and source) were counted together: one of
+    them carries all their draws, the one whose columns' hash is least."""
     _, aims, drawn = plan(docs, seed, text_col, id_col, source_col)
     drawn = written(drawn, "mix-drawn")
     # Shards are numbered from 0 and each holds blocks.
     shards = (drawn.agg(F.max("shard")).first()[0] or 0) + 1
-    keys = ["__id", "__tie", "__source"]
-    sources = _small(aims.select("sid", F.col("source").alias("__source")), aims.count())
-    turns = drawn.groupBy("doc_id", "tie", "sid", "size", "shard", "pass").agg(F.sort_array(F.collect_list("block")).alias("blocks"), F.min("slot").alias("slot"))
-    turn = F.struct(F.col("shard").cast("int").alias("shard"), "slot", "blocks")
-    per = turns.groupBy("doc_id", "tie", "sid", "size").agg(F.collect_list(turn).alias("__turns"))
-    per = per.join(sources, "sid").select(F.col("doc_id").alias("__id"), F.col("tie").alias("__tie"), "__source", F.col("size").alias("__size"), "__turns")
+    own_id, tie, source, size, turns, turn, pieces, shard, slot = fresh(docs, "id", "tie", "source", "size", "turns", "turn", "pieces", "shard", "slot")
+    keys = [own_id, tie, source]
+    sources = _small(aims.select("sid", F.col("source").alias(source)), aims.count())
+    per = drawn.groupBy("doc_id", "tie", "sid", "size", "shard", "pass").agg(F.sort_array(F.collect_list("block")).alias("blocks"), F.min("slot").alias("slot"))
+    per = per.groupBy("doc_id", "tie", "sid", "size").agg(F.collect_list(F.struct("shard", "slot", "blocks")).alias(turns))
+    per = per.join(sources, "sid").select(F.col("doc_id").alias(own_id), F.col("tie").alias(tie), source, F.col("size").alias(size), turns)
     rows = docs.withColumns(dict(zip(keys, [F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)), F.col(source_col).cast("string")], strict=True)))
-    # Repeated rows (same id, text and source) were counted together: one of them carries all their draws.
-    repeated = rows.groupBy(*keys).count().filter("count > 1").head(1)
-    rows = rows.dropDuplicates(keys) if repeated else rows
-    same = rows["__id"].eqNullSafe(per["__id"]) & (rows["__tie"] == per["__tie"]) & rows["__source"].eqNullSafe(per["__source"])
-    out = rows.join(per, same).select(*(rows[c] for c in docs.columns), "__size", F.explode("__turns").alias("__turn"))
-    pieces = F.col("__pieces")
-    partial = F.array_join(F.transform(F.col("__turn")["blocks"], lambda b: F.get(pieces, b.cast("int"))), "")
-    whole = F.size(F.col("__turn")["blocks"]) * BLOCK_WORDS >= F.col("__size")
-    out = out.withColumn("__pieces", F.when(~whole, block_texts(F.col(text_col))))
+    if rows.groupBy(*keys).count().filter("count > 1").head(1):
+        rows = rows.groupBy(*keys).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), same_row(docs)).alias("row")).select(*keys, "row.*")
+    same = rows[own_id].eqNullSafe(per[own_id]) & (rows[tie] == per[tie]) & rows[source].eqNullSafe(per[source])
+    out = rows.join(per, same).select(*(rows[f"`{c}`"] for c in docs.columns), size, F.explode(turns).alias(turn))
+    blocks = F.col(turn)["blocks"]
+    partial = F.array_join(F.transform(blocks, lambda b: F.get(F.col(pieces), b.cast("int"))), "")
+    whole = F.size(blocks) * BLOCK_WORDS >= F.col(size)
+    out = out.withColumn(pieces, F.when(~whole, block_texts(F.col(text_col))))
     out = out.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(partial))
-    out = out.select(*docs.columns, F.col("__turn")["shard"].alias("__shard"), F.col("__turn")["slot"].alias("__slot"))
-    return out.repartitionById(shards, F.col("__shard")).sortWithinPartitions("__shard", "__slot").select(*docs.columns)
+    out = out.withColumns({shard: F.col(turn)["shard"], slot: F.col(turn)["slot"]})
+    partitions = min(shards, MOST_PARTITIONS)
+    place = F.col(shard) if partitions == shards else F.expr(f"{shard} * {partitions}L div {shards}")
+    out = out.repartitionById(partitions, place.cast("int")).sortWithinPartitions(shard, slot)
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -84,7 +84,7 @@ def test_shards_split_the_quotas(docs, monkeypatch):
 
 
 def test_hypergeometric(spark):
-    cases = [(100, 30, 40), (20_000, 9_000, 7_000), (10, 10, 3), (10, 0, 3), (7, 3, 7), (1_000_000, 5, 500_000)]
+    cases = [(400_000, 200_000, 200_000), (100, 30, 40), (20_000, 9_000, 7_000), (10, 10, 3), (10, 0, 3), (7, 3, 7), (1_000_000, 5, 500_000)]
     for n, k, m in cases:
         x = spark.range(2_000).select(mixing.hypergeometric(F.lit(n), F.lit(k), F.lit(m), F.col("id")).alias("x")).toPandas()["x"]
         p, sd = k / n, (m * (k / n) * (1 - k / n) * (n - m) / max(1, n - 1)) ** 0.5
@@ -92,6 +92,45 @@ def test_hypergeometric(spark):
         assert abs(x.mean() - m * p) <= 5 * sd / 2_000**0.5 + 1e-9 and abs(x.std() - sd) <= 0.1 * sd + 1e-9
 
 
+def test_hypergeometric_is_exact(spark):
+    """Every term of a distribution whose deviation is large: shares of draws against exact probabilities."""
+    from math import comb
+
+    n, k, m, draws = 6_000, 3_000, 3_000, 40_000  # a deviation of 19
+    x = spark.range(draws).select(mixing.hypergeometric(F.lit(n), F.lit(k), F.lit(m), F.col("id")).alias("x")).groupBy("x").count().collect()
+    p = {r.x: comb(k, r.x) * comb(n - k, m - r.x) / comb(n, m) for r in x}
+    chi = sum((r["count"] - draws * p[r.x]) ** 2 / (draws * p[r.x]) for r in x if draws * p[r.x] >= 8)
+    bins = sum(draws * v >= 8 for v in p.values())
+    assert abs(chi - bins) < 5 * (2 * bins) ** 0.5
+
+
+def test_the_tree_decides(docs, monkeypatch):
+    """With another split of the quotas the results are that split's."""
+    rows = corpus(np.random.default_rng(5), 100)
+    df = docs(rows)
+    own = mixing.taken_per_document(*mixing.plan(df)).collect()
+    given = {}
+
+    def last_first(quotas, depth, seed):
+        q = quotas.first().q
+        given.update({2**depth - 1: q} | {leaf: [0] * len(q) for leaf in range(2**depth - 1)})
+        return df.sparkSession.createDataFrame(sorted(given.items()), "leaf long, q array<long>")
+
+    monkeypatch.setattr(mixing, "split_quotas", last_first)
+    other = mixing.taken_per_document(*mixing.plan(df)).collect()
+    place = lambda found: {(r.doc_id, x.shard) for r in found for x in r.by_shard}
+    assert len({s for _, s in place(own)}) == mixing.LEAST_SHARDS and {s for _, s in place(other)} == {max(given)}
+
+
+def test_repeated_rows_and_clashing_names(docs):
+    rows = [(1, "a b c d", lang, "s") for lang in ("en", "de", "en")] + [(2, "e f g", "en", "t"), (None, None, None, None), (3, " ", "en", "t")]
+    names = ("id", "_id", "tie", "size", "turn", "turns", "pieces", "shard", "slot", "row")
+    df = docs(rows, extra=names)
+    a, b = (sorted(map(str, mixing.mixed_documents(x).collect())) for x in (df, docs(rows[::-1], extra=names)))
+    assert a == b and mixing.mixed_documents(df).columns == df.columns
+    assert mixing.mixed_documents(df.limit(0)).count() == 0
+
+
 def test_odd_rows(docs):
     got = mixing.taken_per_document(*mixing.plan(docs(ODD))).collect()
     assert len(got) == len(ODD)
