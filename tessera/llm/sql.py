@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .merkle import LEAF, LEAF_DIGITS, ROOT_DIGITS, SECTION_DIGITS, SECTION_PARAGRAPHS
+from .merkle import DIGEST, LEAF_DIGITS, LEAVES, SECTION_DIGITS, SECTION_PARAGRAPHS
 from .ngram_join import SHARE, WORDS
 
 _ENDING = ", ".join(f"'{d:x}'" for d in range(0, 16, SECTION_PARAGRAPHS))
@@ -10,25 +10,40 @@ _ENDING = ", ".join(f"'{d:x}'" for d in range(0, 16, SECTION_PARAGRAPHS))
 
 def _fingerprint(text: str) -> str:
     """The fingerprint of a text expression, as nested expressions."""
-    hashed = f"list_transform(regexp_extract_all({text}, '\\n|[^\\n]{{1,{LEAF}}}'), lambda x: CASE WHEN x = chr(10) THEN ',' ELSE sha256(x)[1:{LEAF_DIGITS}] END)"
-    ended = f"array_to_string(list_transform(string_split(array_to_string({hashed}, ''), ','), lambda p: p || CASE WHEN sha256(p)[1] IN ({_ENDING}) THEN ';' ELSE ',' END), '')"
-    return f"(SELECT sha256(array_to_string(list_transform(s, lambda x: x[1:{SECTION_DIGITS}]), ''))[1:{ROOT_DIGITS}] || '/' || array_to_string(s, ';') FROM (SELECT list_transform(string_split(e[1:length(e) - 1], ';'), lambda x: sha256(array_to_string(list_transform(string_split(x, ','), lambda p: sha256(p)[1:{SECTION_DIGITS}]), ''))[1:{SECTION_DIGITS}] || '=' || x) AS s FROM (SELECT {ended} AS e)))"
+    hashed = f"array_to_string(list_transform(regexp_extract_all({text}, '{LEAVES}'), lambda x: CASE WHEN x = chr(10) THEN ',' ELSE sha256(x) END), '')"
+    paragraphs = f"list_transform(string_split({hashed}, ','), lambda p: sha256(p) || ':' || regexp_replace(p, '([0-9a-f]{{{LEAF_DIGITS}}})[0-9a-f]{{{DIGEST - LEAF_DIGITS}}}', '\\1', 'g'))"
+    ended = f"array_to_string(list_transform({paragraphs}, lambda p: p || CASE WHEN p[1] IN ({_ENDING}) THEN ';' ELSE ',' END), '')"
+    digests = f"array_to_string(list_transform(string_split(x, ','), lambda p: p[1:{DIGEST}]), '')"
+    sections = f"list_transform(string_split(e[1:length(e) - 1], ';'), lambda x: sha256({digests}) || '=' || regexp_replace(x, '[0-9a-f]{{{DIGEST}}}:', '', 'g'))"
+    return f"(SELECT sha256(array_to_string(list_transform(s, lambda x: x[1:{DIGEST}]), '')) || '/' || array_to_string(list_transform(s, lambda x: x[1:{SECTION_DIGITS}] || x[{DIGEST + 1}:]), ';') FROM (SELECT {sections} AS s FROM (SELECT {ended} AS e)))"
 
 
 def _leaves(fp: str) -> str:
-    return f"list_distinct(regexp_extract_all(regexp_replace({fp}[{ROOT_DIGITS + 2}:], '[0-9a-f]{{{SECTION_DIGITS}}}=', '', 'g'), '[0-9a-f]{{{LEAF_DIGITS}}}'))"
+    return f"list_distinct(regexp_extract_all(regexp_replace({fp}[{DIGEST + 2}:], '[0-9a-f]{{{SECTION_DIGITS}}}=', '', 'g'), '[0-9a-f]{{{LEAF_DIGITS}}}'))"
 
 
 def _likeness(a: str, b: str) -> str:
     return f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"
 
 
+def _differing(mine: str, other: str) -> str:
+    """(section, place, paragraph) of the paragraphs in the sections that the other list of sections lacks."""
+    numbered = f"list_filter(list_transform({mine}, lambda x, i: {{'s': x, 'i': i - 1}}), lambda x: NOT list_contains({other}, x.s))"
+    return f"flatten(list_transform({numbered}, lambda x: list_transform(string_split(x.s[{SECTION_DIGITS + 2}:], ','), lambda p, j: {{'at': x.i || '.' || (j - 1), 'p': p}})))"
+
+
+def _lacking(mine: str, other: str) -> str:
+    return f"coalesce(array_to_string(list_transform(list_filter({mine}, lambda x: NOT list_contains(list_transform({other}, lambda q: q.p), x.p)), lambda x: x.at), ','), '')"
+
+
 MERKLE = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
  n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nt FROM d),
  e AS (SELECT *, t[1:length(t) - length(t) // 4] || substr(nt, 1, length(t) // 4) AS ed FROM n),
  f AS (SELECT doc_id, length(t) AS n_chars, sha256(ed) AS edited_sha256, {_fingerprint('t')} AS fingerprint, {_fingerprint('ed')} AS edited_fingerprint, {_fingerprint('nt')} AS nf FROM e),
- l AS (SELECT *, {_leaves('fingerprint')} AS a, {_leaves('edited_fingerprint')} AS b, {_leaves('nf')} AS c FROM f)
- SELECT doc_id, CAST(n_chars AS BIGINT) AS n_chars, edited_sha256, fingerprint, edited_fingerprint, {_likeness('a', 'b')} AS near_edited, {_likeness('a', 'c')} AS near_next FROM l"""
+ l AS (SELECT *, {_leaves('fingerprint')} AS a, {_leaves('edited_fingerprint')} AS b, {_leaves('nf')} AS c, string_split(fingerprint[{DIGEST + 2}:], ';') AS sa, string_split(edited_fingerprint[{DIGEST + 2}:], ';') AS sb FROM f),
+ p AS (SELECT *, {_differing('sa', 'sb')} AS pa, {_differing('sb', 'sa')} AS pb FROM l)
+ SELECT doc_id, CAST(n_chars AS BIGINT) AS n_chars, edited_sha256, fingerprint, edited_fingerprint, {_likeness('a', 'b')} AS near_edited, {_likeness('a', 'c')} AS near_next,
+ '-' || {_lacking('pa', 'pb')} || ' +' || {_lacking('pb', 'pa')} AS edits FROM p"""
 
 _GRAM = " || ' ' || ".join(f"w[i + {k}]" if k else "w[i]" for k in range(WORDS))
 

@@ -34,18 +34,66 @@ def test_one_document_and_none(docs):
     assert merkle.compare_with_edits(docs(ODD).limit(0)).count() == 0
 
 
+def plain(text):
+    """The fingerprint, by the docstring's rules."""
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+
+    def cut(line):
+        while line:
+            n = next((k for k in range(27, min(64, len(line))) if line[k] in " \t.,;:!?/&=-"), None)
+            n = min(64, len(line)) if n is None else n + 1
+            yield line[:n]
+            line = line[n:]
+
+    sections, held = [], []
+    lines = text.split("\n")
+    for k, line in enumerate(lines):
+        digests = [sha(x) for x in cut(line)]
+        held.append((sha("".join(digests)), "".join(d[:10] for d in digests)))
+        if held[-1][0][0] in "048c" or k == len(lines) - 1:
+            sections.append((sha("".join(d for d, _ in held)), ",".join(x for _, x in held)))
+            held = []
+    return sha("".join(d for d, _ in sections)) + "/" + ";".join(f"{d[:16]}={x}" for d, x in sections)
+
+
+def test_equals_the_plain_tree(docs):
+    lines = [f"line {k}, with words: {k * 7919 % 1000} and some more of its own; " * (k % 4) for k in range(200)]
+    rows = [*ODD, (20, "\n".join(lines), "en", "s"), (21, "a" * 63 + " b" * 40 + "\n\n" + "\u00e9" * 70, "en", "s")]
+    texts = {i: t or "" for i, t, *_ in rows}
+    for r in merkle.fingerprints(docs(rows)).collect():
+        assert r.fingerprint == plain(texts[r.doc_id])
+
+
+def test_short_hashes_dont_make_the_root(spark):
+    """Two texts whose leaves have the same first 40 bits."""
+    a, b = (f"{k:032d}" for k in (511756, 1889193))
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    x, y = sorted(r.fingerprint for r in merkle.fingerprints(df).collect())
+    assert x[:64] != y[:64]
+
+
+def compared(spark, a, b):
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    fp = {r.doc_id: r.fingerprint for r in merkle.fingerprints(df).collect()}
+    pair = spark.createDataFrame([(fp[1], fp[2])], "a string, tree_a string")
+    row = merkle.with_edits(pair, "a", "tree_a", "e").select("e", merkle.likeness(merkle.leaves(F.col("a")), merkle.leaves(F.col("tree_a"))).alias("near")).first()
+    places = lambda fp, found: [sum(len(s.split(",")) for s in fp.split("/")[1].split(";")[: e.section]) + e.paragraph for e in found]
+    return places(fp[1], row.e.gone), places(fp[2], row.e.come), row.near
+
+
 def test_edits_are_located(spark):
     lines = [f"line number {k} with some words of its own" for k in range(40)]
-    changed = [*lines[:20], "another line", *lines[21:]]
-    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(changed)), (3, "\n".join(lines))], "doc_id long, text string")
-    fp = {r.doc_id: r.fingerprint for r in merkle.fingerprints(df).collect()}
-    assert fp[1] == fp[3] != fp[2]
-    pair = spark.createDataFrame([(fp[1], fp[2], fp[3])], "a string, b string, c string")
-    row = pair.select(merkle.edits(F.col("a"), F.col("b")).alias("ab"), merkle.edits(F.col("a"), F.col("c")).alias("ac")).first()
-    assert row.ac == [] and 1 <= len(row.ab) < 40
-    first = row.ab[0]
-    paragraphs = [len(s.split("=")[1].split(",")) for s in fp[1].split("/")[1].split(";")]
-    assert sum(paragraphs[: first.section]) + first.paragraph == 20
+    text = "\n".join(lines)
+    assert compared(spark, text, text) == ([], [], 1.0)
+    assert compared(spark, text, "\n".join([*lines[:20], "another line", *lines[21:]]))[:2] == ([20], [20])
+    assert compared(spark, text, "\n".join([*lines[:20], "a line put in", *lines[20:]]))[:2] == ([], [20])
+    assert compared(spark, text, "\n".join([*lines[:7], *lines[8:]]))[:2] == ([7], [])
+
+
+def test_an_insertion_moves_few_leaves(spark):
+    line = " ".join(f"word{k * 7919 % 997}" for k in range(300))
+    *_, near = compared(spark, line, "x" + line)
+    assert near > 0.9
 
 
 def test_likeness_is_dice(spark):
