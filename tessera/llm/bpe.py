@@ -51,13 +51,29 @@ def load(path: str):
     return tok, special, cuttable
 
 
+class Cutter:
+    """Cuts texts into pre-tokens."""
+
+    def __init__(self, path: str):
+        self.tok, self.special, self.cuttable = load(path)
+
+    def __call__(self, text: str) -> list[str] | None:
+        """The text's pre-tokens; None where only the library may encode the text as a whole."""
+        if not self.cuttable or any(s in text for s in self.special):
+            return None
+        if PLAIN.search(text) is None:
+            return PIECES.findall(text)
+        return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+
+
 class Pieces(dict):
     """Pre-token -> what ``make`` gives for its ids. Misses are encoded by the library's model and kept; when a
     generation is full it becomes the older one, from which what is still in use comes back."""
 
     def __init__(self, path: str, make):
         super().__init__()
-        self.tok, self.special, self.cuttable = load(path)
+        self.cut = Cutter(path)
+        self.tok = self.cut.tok
         self.model, self.make, self.older = self.tok.model, make, {}
 
     def __missing__(self, piece: str):
@@ -71,14 +87,6 @@ class Pieces(dict):
             self[piece] = value
         return value
 
-    def cut(self, text: str) -> list[str] | None:
-        """The text's pre-tokens; None where only the library may encode the text as a whole."""
-        if not self.cuttable or any(s in text for s in self.special):
-            return None
-        if PLAIN.search(text) is None:
-            return PIECES.findall(text)
-        return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
-
     def whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 

@@ -4,8 +4,9 @@ Tier one is a compact hash table of frequent pre-tokens and their token counts (
 few MB), broadcast to every worker. Tier two is each worker's own cache, which encodes misses once. The corpus'
 pre-tokens are never shuffled: counting is a single pass over the texts.
 
-The table only saves work, so it is fitted on a bounded sample of texts (``SAMPLE_ROWS`` rows, of each a slice of
-at most ``SAMPLE_CHARS``); counts come from whole texts and don't depend on it.
+Which pre-tokens are frequent is counted over all whole texts, by task: a task keeps a table of at most
+``TASK_ENTRIES`` counts, of which the least go when it is full, and gives its ``TASK_GIVES`` most frequent. Only
+these are merged; the counts of tokens come from whole texts and don't depend on them.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); repeated rows each get their row; an empty table
 gives an empty result; columns other than the id and text are ignored, so their names can't clash.
@@ -20,35 +21,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Pieces, load
-from .common import hash_below, small_batches, text_or_empty
+from .bpe import LONGEST_KEPT, Cutter, Pieces, load
+from .common import small_batches, text_or_empty
 
 TABLE_ENTRIES = 32_768
-SAMPLE_ROWS = 2_000
-SAMPLE_CHARS = 16_384
+TASK_ENTRIES, TASK_GIVES = 131_072, 4_096
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
-def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id") -> dict[str, int]:
-    """The most frequent pre-tokens of a bounded sample, with their token counts."""
-    total = docs.count()
-    if not total:
-        return {}
-    sample = docs.filter(hash_below(F.col(id_col), SAMPLE_ROWS / total, "frequent pre-tokens")).select(
-        F.substring(text_or_empty(text_col), 1, SAMPLE_CHARS).alias("text")
-    )
+def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text") -> dict[str, int]:
+    """The most frequent pre-tokens of all texts, with their token counts."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, found = Pieces(path, len), Counter()
+        cut, found = Cutter(path), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found.update(pieces.cut(text) or ())
-        top = found.most_common(TABLE_ENTRIES)
+                found.update(cut(text) or ())
+                if len(found) > TASK_ENTRIES:
+                    found = Counter(dict(found.most_common(TASK_ENTRIES // 2)))
+        top = [(p, n) for p, n in found.most_common(TASK_GIVES) if len(p) <= LONGEST_KEPT]
         yield pa.RecordBatch.from_pydict({"piece": [p for p, _ in top], "n": [n for _, n in top]}, schema=pa.schema([("piece", pa.string()), ("n", pa.int64())]))
 
-    # Only the bounded sample's tallies are merged here, each task's TABLE_ENTRIES at most.
-    merged = sample.mapInArrow(tally, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    merged = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(tally, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     rows = merged.orderBy(F.desc("n"), "piece").limit(TABLE_ENTRIES).collect()
     pieces = Pieces(path, len)
     return {r["piece"]: pieces[r["piece"]] for r in rows}
@@ -89,7 +84,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, text_col: str = "
     spark = docs.sparkSession
     small_batches(spark)
     two_tier = path.endswith(".json") and load(path)[2]
-    table = spark.sparkContext.broadcast(frequent_pieces(docs, path, text_col, id_col) if two_tier else {})
+    table = spark.sparkContext.broadcast(frequent_pieces(docs, path, text_col) if two_tier else {})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = TwoTier(path, table.value) if two_tier else WholeTexts(path)

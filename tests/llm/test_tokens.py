@@ -81,9 +81,53 @@ def test_plan_fills_sequences():
             assert at == 1024 or at & (at - 1) == 0  # full, or a power of two: no padding
 
 
-def test_remainders_go_to_the_cheapest():
-    rows = packing.plan([600, 500, 400, 300, 248])
-    assert {d: s for d, _, _, s, _ in rows if s < 2}[0] != {d: s for d, _, _, s, _ in rows if s < 2}[1]
+def placed(lengths, **more):
+    """Document -> sequences of its pieces."""
+    found = defaultdict(list)
+    for d, _, _, s, _ in packing.plan(lengths, **more):
+        found[d].append(s)
+    return found
+
+
+def test_documents_go_to_the_cheapest():
+    """One document of 512 costs more than four of 130: a fifth joins the four, which have more ids but cost less.
+    Neither the fuller nor the emptier sequence would be right for all of them, and without the quadratic part the
+    fifth would join the 512."""
+    lengths = [512] + [130] * 5 + [98] * 9 + [4]
+    where = placed(lengths)
+    assert {where[k][0] for k in range(1, 6)} == {1 - where[0][0]}
+    linear = placed(lengths, quadratic_at=10**12)
+    assert {linear[k][0] for k in range(1, 6)} == {0, 1}
+
+
+def test_few_documents_are_cut():
+    assert all(len(s) == 1 for s in placed([700, 600, 500, 424, 324, 548]).values())  # none where all find room
+    rng = np.random.default_rng(4)
+    lengths = [int(x) for x in rng.integers(20, 600, 400)]
+    cut = sum(len(s) > 1 for s in placed(lengths).values())
+    assert cut <= 60  # sequences without padding need some
+
+
+def test_tails_go_over_to_the_next_block(docs, vocabulary):
+    """Many blocks, one tail: all sequences of a task are full but a last few."""
+    rng = np.random.default_rng(6)
+    df = docs([(i, "word " * int(rng.integers(1, 400)), "en", "s") for i in range(200)]).coalesce(1)
+    rows = packing.pack(df, vocabulary, block_tokens=3_000).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.sequence_id] += r.length
+    short = sorted((s for s in sizes.values() if s < 1024), reverse=True)
+    total = sum(sizes.values())
+    assert short == [1 << b for b in range(9, -1, -1) if total % 1024 >> b & 1]
+    seen = defaultdict(list)
+    for r in rows:
+        seen[r.doc_id].append((r.start, r.length, r.doc_tokens))
+    for found in seen.values():
+        at = 0
+        for start, n, _ in sorted(found):
+            assert start == at
+            at += n
+        assert at == found[0][2]
 
 
 def test_packing(docs, vocabulary, tokenizer):
