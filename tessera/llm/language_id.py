@@ -2,10 +2,18 @@
 
 A text's vector is the mean embedding of its hashed 2-, 3- and 4-grams of lower-cased letters (a word's edge counts
 as a character; grams don't cross words). Embeddings and softmax are trained by stochastic gradient descent in
-numpy on a bounded sample: at most about ``PER_LANGUAGE`` labelled rows a language, of each a slice of at most
-``SLICE`` characters. A fifth of the sample is kept out of training and sets the softmax' temperature and the
-rejection threshold: the score that all but ``REJECT_SHARE`` of its rows reach, ``REJECT_BELOW`` at most, so that a
-text of two languages stays.
+numpy on a bounded sample: about ``PER_LANGUAGE`` labelled rows of each of the ``MOST_LANGUAGES`` most frequent
+languages at most, of each a slice of at most ``SLICE`` characters; of rows that share an id one. A fifth of the
+sample is kept out of training and sets the softmax' temperature and two thresholds:
+
+- how much of a text must be grams that training has seen. Kept-out texts and their beginnings show how low that
+  share falls in learned languages, and each language's texts, against the grams of the others alone, how high it
+  rises in a language that wasn't learned. The threshold lies halfway between, where there is room; where there is
+  none, learned languages' texts stay.
+- how flat the softmax may be: no flatter than for kept-out texts joined from two languages or more, so that a text
+  of several languages stays.
+
+``REJECT_SHARE`` of kept-out rows may fall below either. A text below one of them is rejected.
 
 At prediction embeddings times softmax weights is one small table (buckets x languages), which is broadcast, so a
 whole text costs a table look-up a gram. Rows aren't shuffled.
@@ -29,11 +37,17 @@ from .common import hash_below, small_batches, text_or_empty
 
 BUCKET_BITS = 16
 DIMENSIONS = 16
-PER_LANGUAGE = 400
+PER_LANGUAGE, MOST_LANGUAGES = 400, 1_000
 SLICE = 3_000
 EPOCHS = 4
 RATE = 0.4
-REJECT_SHARE, REJECT_BELOW = 0.001, 0.4
+REJECT_SHARE = 0.001
+#: Part of the texts in languages left out that the threshold should lie above.
+LEFT_OUT_SHARE = 0.99
+#: Grams that a text is taken to have beside its own, all seen in training: one odd word is no other language.
+BENEFIT = 20
+#: Words of a beginning by which the thresholds are set, beside whole texts.
+BEGINNING = 8
 UNDETERMINED = "und"
 #: Characters handled at once; bounds a worker's memory for long texts.
 CHUNK = 1 << 18
@@ -81,21 +95,22 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """What prediction needs: languages, the gram table, intercepts, temperature and rejection threshold."""
+    """What prediction needs: languages, the gram table (its last column tells the grams seen in training),
+    intercepts, temperature and thresholds."""
 
-    def __init__(self, languages: list[str], grams_to_scores: np.ndarray, intercepts: np.ndarray, temperature: float, threshold: float):
-        self.languages, self.table, self.intercepts = languages, grams_to_scores, intercepts
-        self.temperature, self.threshold = temperature, threshold
+    def __init__(self, languages: list[str], grams_to_scores: np.ndarray, intercepts: np.ndarray, temperature: float = 1.0):
+        self.languages, self.table, self.intercepts, self.temperature = languages, grams_to_scores, intercepts, temperature
+        self.least_known, self.least_top = 0.0, 0.0
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log scores of each whole text, and how many grams it has. Long texts are summed by chunks that end
-        between words."""
-        sums, n = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log scores of each whole text, how many grams it has, and how many of them were seen in training. Long
+        texts are summed by chunks that end between words."""
+        sums, n = np.zeros((len(texts), self.table.shape[1])), np.zeros(len(texts), np.int64)
         batch, owner, held = [], [], 0
 
         def add() -> None:
             buckets, begin = grams(batch)
-            total = np.zeros((len(buckets) + 1, len(self.languages)))
+            total = np.zeros((len(buckets) + 1, self.table.shape[1]))
             np.cumsum(self.table[buckets], axis=0, out=total[1:])
             np.add.at(sums, owner, total[begin[1:]] - total[begin[:-1]])
             np.add.at(n, owner, np.diff(begin))
@@ -110,16 +125,25 @@ class Model:
                     batch, owner, held = [], [], 0
         if batch:
             add()
-        return sums / np.maximum(n, 1)[:, None] + self.intercepts, n
+        return sums[:, :-1] / np.maximum(n, 1)[:, None] + self.intercepts, n, sums[:, -1]
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Softmax, number of grams, and the share of grams seen, of each text."""
+        z, n, seen = self.scores(texts)
+        return _softmax(z / self.temperature), n, known_share(seen, n)
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and whether it is accepted, of each text."""
         if not texts or not self.languages:
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        z, n = self.scores(texts)
-        p = _softmax(z / self.temperature)
-        best = p.argmax(1)
-        names = [self.languages[b] if k else UNDETERMINED for b, k in zip(best, n, strict=True)]
-        return names, np.where(n > 0, p[np.arange(len(texts)), best], 0.0)
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+        p, n, known = self.judge(texts)
+        best, top = p.argmax(1), p.max(1)
+        names = [self.languages[i] if k else UNDETERMINED for i, k in zip(best, n, strict=True)]
+        return names, np.where(n > 0, top, 0.0), (n > 0) & (known >= self.least_known) & (top >= self.least_top)
+
+
+def known_share(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (seen + BENEFIT) / (n + BENEFIT)
 
 
 def _chunks(text: str) -> Iterator[str]:
@@ -137,7 +161,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     rows = sorted(set(rows))
     languages = sorted({lang for lang, _ in rows})
     if not languages:
-        return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, REJECT_BELOW)
+        return Model([], np.zeros((1 << BUCKET_BITS, 1), np.float32), np.zeros(0))
     rng = np.random.default_rng(seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
     y = np.array([languages.index(lang) for lang, _ in rows])
@@ -169,32 +193,62 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
             b -= rate * 0.1 * g
             # A mean's gradient is spread over its grams; scaling by their number keeps rare grams learning.
             emb[ids] -= rate * np.minimum(part * len(ids), 5.0)[:, None] * back
-    model = Model(languages, (emb @ w).astype(np.float32), b, 1.0, REJECT_BELOW)
+    met = np.zeros((len(languages), 1 << BUCKET_BITS), bool)
+    for i in learn:
+        met[y[i], bags[i][0]] = True
+    model = Model(languages, np.column_stack([emb @ w, met.any(0)]).astype(np.float32), b)
     held = np.flatnonzero(kept_out)
-    if len(held) and len(languages) > 1:
-        texts = [rows[i][1] for i in held]
-        z, n = model.scores(texts)
-        loss = lambda t: -np.log(np.maximum(_softmax(z / t)[np.arange(len(held)), y[held]], 1e-12)).mean()
-        model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
-        top = _softmax(z / model.temperature).max(1)[n > 0]
-        if len(top):
-            model.threshold = float(min(REJECT_BELOW, np.quantile(top, REJECT_SHARE)))
+    if len(held):
+        calibrate(model, [rows[i][1] for i in held], y[held], met, rng)
     return model
 
 
+def calibrate(model: Model, texts: list[str], y: np.ndarray, met: np.ndarray, rng: np.random.Generator) -> None:
+    """Sets temperature and thresholds by kept-out texts; ``met`` has the grams that training saw in each language."""
+    z, n, seen = model.scores(texts)
+    loss = lambda t: -np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
+    model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
+    begin = [" ".join(t.split()[:BEGINNING]) for t in texts]
+    _, n_begin, seen_begin = model.scores(begin)
+    inside = np.concatenate([known_share(seen, n)[n > 0], known_share(seen_begin, n_begin)[n_begin > 0]])
+    if not len(inside):
+        return
+    low, left_out = float(np.quantile(inside, REJECT_SHARE)), []
+    present = np.flatnonzero(met.any(1))
+    for k in present if len(present) > 1 else ():
+        others = met[present[present != k]].any(0)
+        for t in (t for t, v in zip(texts, y, strict=True) if v == k):
+            buckets, _ = grams([t.lower()])
+            if len(buckets):
+                left_out.append(known_share(others[buckets].sum(), len(buckets)))
+    high = float(np.quantile(left_out, LEFT_OUT_SHARE)) if left_out else 0.0
+    model.least_known = (low + high) / 2 if high < low else low
+    mixed, by = [], [np.flatnonzero(y == k) for k in np.unique(y)]
+    for _ in range(2 * len(texts) if len(by) > 1 else 0):
+        some = rng.permutation(len(by))[: rng.integers(2, min(len(by), 4) + 1)]
+        mixed.append(" ".join(texts[rng.choice(by[k])] for k in some))
+    p, n, _ = model.judge([*texts, *mixed])
+    if (n > 0).any():
+        model.least_top = float(np.quantile(p.max(1)[n > 0], REJECT_SHARE))
+
+
 def labelled_sample(docs: DataFrame, usable: Column, text_col: str, lang_col: str, id_col: str) -> list[tuple[str, str]]:
-    """About PER_LANGUAGE labelled rows of each language, chosen by a hash of the id."""
+    """About PER_LANGUAGE labelled rows of each language, chosen by a hash of the id; one of those that share it."""
     known = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     if not counts:
         return []
+    most = {}
+    for r in counts:  # as many numbers as languages
+        most.setdefault(min(1.0, PER_LANGUAGE / r["n"]), []).append(r["lang"])
     pick = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        pick = pick | ((F.col(lang_col) == lang) & hash_below(F.col(id_col), PER_LANGUAGE / n, "language sample"))
-    size = F.char_length(F.col(text_col))
-    start = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.greatest(F.lit(1), size - SLICE + 1)) + 1
-    rows = known.filter(pick).select(F.col(lang_col).alias("lang"), F.substr(F.col(text_col), start.cast("int"), F.lit(SLICE)).alias("text"))
-    return [(r["lang"], r["text"]) for r in rows.collect()]
+    for fraction, languages in sorted(most.items()):
+        pick = pick | (F.col("lang").isin(languages) & hash_below(F.col("id"), fraction, "language sample"))
+    start = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.char_length("text") - SLICE + 1)) + 1
+    rows = known.filter(pick).select("id", "lang", F.substr("text", start.cast("int"), F.lit(SLICE)).alias("text"))
+    one = rows.groupBy("id").agg(F.min_by(F.struct("lang", "text"), F.xxhash64("lang", "text")).alias("r"))
+    return [(r["lang"], r["text"]) for r in one.select("r.lang", "r.text").collect()]
 
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
@@ -216,14 +270,14 @@ def identify(docs: DataFrame, model: Model | None = None, text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            names, p = m.predict(batch.column(2).to_pylist())
+            names, p, accepted = m.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
                     "held_out": batch.column(1),
                     "lang_pred": pa.array(names, pa.string()),
                     "score": pa.array(p, pa.float64()),
-                    "accepted": pa.array((p >= m.threshold) & (p > 0), pa.bool_()),
+                    "accepted": pa.array(accepted, pa.bool_()),
                 }
             )
 
@@ -239,8 +293,6 @@ def keep_accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     def accepted(texts):
         import pandas as pd
 
-        m = shared.value
-        _, p = m.predict(texts.tolist())
-        return pd.Series((p >= m.threshold) & (p > 0))
+        return pd.Series(shared.value.predict(texts.tolist())[2])
 
     return docs.filter(accepted(text_or_empty(text_col)))
