@@ -38,21 +38,85 @@ class Dense:
         return self.x.T @ g
 
 
+def minimise(f, w: np.ndarray, steps: int, least: float = 1e-6, memory: int = 12) -> np.ndarray:
+    """Where a convex function is least: ``f`` gives value and gradient. Limited-memory BFGS with halved steps, until no
+    part of the gradient exceeds ``least`` or ``steps`` are taken."""
+    value, g = f(w)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        if np.abs(g).max(initial=0.0) <= least:
+            break
+        q, kept = g.copy(), []
+        for s, y, r in reversed(past):
+            a = r * (s @ q)
+            kept.append(a)
+            q -= a * y
+        q *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.linalg.norm(g))
+        for (s, y, r), a in zip(past, reversed(kept), strict=True):
+            q += s * (a - r * (y @ q))
+        slope, size = -(g @ q), 1.0
+        while True:
+            new = w - size * q
+            v, h = f(new)
+            if v <= value + 1e-4 * size * slope or size < 1e-10:
+                break
+            size /= 2
+        if size < 1e-10:
+            break
+        s, y = new - w, h - g
+        if s @ y > 1e-12:
+            past = [*past[-memory + 1 :], (s, y, 1 / (s @ y))]
+        w, value, g = new, v, h
+    return w
+
+
+def minimise(f, w: np.ndarray, steps: int, least: float = 1e-6, memory: int = 12) -> np.ndarray:
+    """Where a convex function is least: ``f`` gives value and gradient. Limited-memory BFGS with halved steps, until no
+    part of the gradient exceeds ``least`` or ``steps`` are taken."""
+    value, g = f(w)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        if np.abs(g).max(initial=0.0) <= least:
+            break
+        q, kept = g.copy(), []
+        for s, y, r in reversed(past):
+            a = r * (s @ q)
+            kept.append(a)
+            q -= a * y
+        q *= (past[-1][0] @ past[-1][1]) / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.linalg.norm(g))
+        for (s, y, r), a in zip(past, reversed(kept), strict=True):
+            q += s * (a - r * (y @ q))
+        slope, size = -(g @ q), 1.0
+        while True:
+            new = w - size * q
+            v, h = f(new)
+            if v <= value + 1e-4 * size * slope or size < 1e-10:
+                break
+            size /= 2
+        if size < 1e-10:
+            break
+        s, y = new - w, h - g
+        if s @ y > 1e-12:
+            past = [*past[-memory + 1 :], (s, y, 1 / (s @ y))]
+        w, value, g = new, v, h
+    return w
+
+
 def fit_logistic(x: Sparse | Dense, y: np.ndarray, l2: float = 1.0, steps: int = 300, weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Weights and intercept that minimise log loss plus ``l2 / 2n`` of the squared weights, by Adam from zero."""
-    w, b = np.zeros(x.width), 0.0
+    """Weights and intercept that minimise log loss plus ``l2 / 2n`` of the squared weights."""
     if not x.n:
-        return w, b
+        return np.zeros(x.width), 0.0
     u = np.ones(x.n) if weight is None else weight
     u = u / u.sum()
-    m, v = np.zeros(x.width + 1), np.zeros(x.width + 1)
-    for t in range(1, steps + 1):
-        e = u * (sigmoid(x.dot(w) + b) - y)
-        g = np.append(x.back(e) + l2 / x.n * w, e.sum())
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        d = 0.1 * (1 - t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w, b = w - d[:-1], b - d[-1]
-    return w, float(b)
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = x.dot(w[:-1]) + w[-1]
+        e = u * (sigmoid(z) - y)
+        value = u @ (np.logaddexp(0, z) - y * z) + l2 / x.n / 2 * (w[:-1] @ w[:-1])
+        return value, np.append(x.back(e) + l2 / x.n * w[:-1], e.sum())
+
+    w = minimise(loss, np.zeros(x.width + 1), steps)
+    return w[:-1], float(w[-1])
 
 
 def fit_platt(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:

@@ -3,15 +3,18 @@
 Categories are predicted in sequence, each by a linear model over hashed word features and the probabilities of
 the categories before it. In training those earlier probabilities are out-of-fold predictions, so a later model
 sees them as wrong as they will be on new texts. Word features are chosen by their evidence in the training part
-of each fold. Fitted on a bounded sample of labelled rows (``PER_CLASS`` of either class at most, by a hash of the
-id; of each a slice of at most ``SLICE`` characters); prediction reads every whole text, without a shuffle.
+of each fold. Fitted on a bounded sample of labelled rows (about ``PER_CLASS`` of either class, by a hash of the
+id; of rows that share an id one), whose whole texts are turned into features on the executors; prediction reads
+every whole text, without a shuffle.
 
-``labels`` has one toxic label; ``CATEGORIES`` derives the earlier categories from it: ``insult`` (toxic, and at
-least one word that names a person), ``severe`` (toxic, and at least three distinct words of strong evidence).
+``labels`` has one toxic label; ``CATEGORIES`` grades it: ``severe`` (toxic, with three distinct words of strong
+evidence or more), ``explicit`` (toxic, with one). Which words are strong is learned from the other folds' rows,
+so that no row's grade comes from its own label.
 
 Defined cases: a null or empty text has no word features and gets the models' intercepts; rows without a label
-aren't learned from; if the labels hold one class only, its share is every row's probability; repeated rows get a
-row each; an empty table gives an empty result; columns other than those named are ignored.
+aren't learned from; an id labelled both ways counts as toxic; if the labels hold one class only, its share is every
+row's probability; repeated rows get a row each; an empty table gives an empty result; columns other than those
+named are ignored.
 """
 
 from __future__ import annotations
@@ -29,16 +32,16 @@ from .linear import Sparse, fit_logistic, fit_platt, folds, logit, sigmoid
 from .words import Bags
 
 PER_CLASS = 2_500
-SLICE = 12_000
-FOLDS, STEPS = 4, 200
+FOLDS, STEPS = 5, 300
 FEATURES = 2_000
 #: A feature is used if it is in so many texts of a class at least, and its log odds have so many standard errors.
 LEAST_TEXTS, LEAST_EVIDENCE = 4, 3.0
 #: The decision threshold is the lowest at which this share of held-out decisions is right.
 PRECISION = 0.99
 
-#: Words that name a person.
-PERSONS = frozenset("idiot idiots loser losers moron morons clown clowns fool fools scum".split())
+#: Log odds from which a word's evidence is strong, and how many such words make a text severe.
+STRONG, SEVERE_WORDS = 3.0, 3
+CATEGORIES = ("severe", "explicit", "toxic")
 
 
 def _evidence(bags: Bags, y: np.ndarray) -> dict[int, float]:
@@ -108,12 +111,16 @@ class Chain:
 
 def train_chain(texts: list[str], targets: dict[str, np.ndarray]) -> Chain:
     """Fit the chain; ``targets`` gives the categories in order. The last one's decisions set the threshold."""
-    bags = Bags.of(texts)
-    fold = folds(len(texts), FOLDS)
-    earlier, links, names = np.zeros((len(texts), 0)), [], list(targets)
-    held = np.zeros(len(texts))
+    return train_on(Bags.of(texts), targets)
+
+
+def train_on(bags: Bags, targets: dict[str, np.ndarray]) -> Chain:
+    n = bags.n
+    fold = folds(n, FOLDS)
+    earlier, links, names = np.zeros((n, 0)), [], list(targets)
+    held = np.zeros(n)
     for name in names:
-        y, raw = targets[name].astype(float), np.zeros(len(texts))
+        y, raw = targets[name].astype(float), np.zeros(n)
         for k in range(FOLDS):
             out = np.flatnonzero(fold == k)
             fit = np.flatnonzero(fold != k)
@@ -124,7 +131,7 @@ def train_chain(texts: list[str], targets: dict[str, np.ndarray]) -> Chain:
         held = sigmoid(link.slope * raw + link.shift)
         earlier = np.column_stack([earlier, logit(held)])
         links.append(link)
-    return Chain(names, links, _threshold(held, targets[names[-1]].astype(float)) if texts else 0.5)
+    return Chain(names, links, _threshold(held, targets[names[-1]].astype(float)) if n else 0.5)
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -138,36 +145,46 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.clip((p[order[last]] + below) / 2, 0.2, 0.8))
 
 
-def categories(texts: list[str], toxic: np.ndarray) -> dict[str, np.ndarray]:
-    """The chain's targets, from the one label."""
-    strong = {f for f, odds in _evidence(Bags.of(texts), toxic.astype(float)).items() if odds > 3}
-    person = np.array([bool(PERSONS & {w.strip(".,!?") for w in t.lower().split()}) for t in texts], dtype=bool)
-    tokens = [set(t.lower().split()) for t in texts]
-    telling = {w for w in set().union(*tokens) if any(f in strong for f in words.features(w))}
-    several = np.array([len(t & telling) >= 3 for t in tokens], dtype=bool)
-    on = toxic.astype(bool)
-    return {"insult": on & person, "severe": on & several, "toxic": on}
-
-
-CATEGORIES = ("insult", "severe", "toxic")
+def categories(bags: Bags, toxic: np.ndarray) -> dict[str, np.ndarray]:
+    """The chain's targets, from the one label: how many strong words a row has, by what the other folds' rows say."""
+    on, strong, fold = toxic.astype(bool), np.zeros(bags.n, np.int64), folds(bags.n, FOLDS, seed=1)
+    for k in range(FOLDS):
+        rows, others = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        found = _evidence(bags.take(others), toxic[others].astype(float)) if len(others) else {}
+        telling = np.zeros(1 << words.BITS, bool)
+        telling[[f for f, odds in found.items() if odds > STRONG and f % 2 == 0]] = True
+        part = bags.take(rows)
+        strong[rows] = np.bincount(part.row[telling[part.col]], minlength=len(rows))
+    return {"severe": on & (strong >= SEVERE_WORDS), "explicit": on & (strong >= 1), "toxic": on}
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", id_col: str = "doc_id") -> list[tuple[int, str, int]]:
-    """About PER_CLASS rows of either class, chosen by a hash of the id, in order of id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", text_col: str = "text", id_col: str = "doc_id") -> tuple[Bags, np.ndarray]:
+    """Features and labels of about PER_CLASS rows of either class, chosen by a hash of the id, in order of id."""
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1) and doc_id is not null")
     counts = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pick = F.lit(False)
     for y, n in sorted(counts.items()):
         pick = pick | ((F.col("y") == y) & hash_below(F.col("doc_id"), PER_CLASS / n, "label sample"))
     chosen = marks.filter(pick).groupBy("doc_id").agg(F.max("y").alias("y"))  # about 2 * PER_CLASS rows: fit to broadcast
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.substring(text_or_empty(text_col), 1, SLICE).alias("text")).join(F.broadcast(chosen), "doc_id")
-    return sorted((r["doc_id"], r["text"], r["y"]) for r in rows.collect())
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+        for b in batches:
+            found = [words.bag(t, known) for t in b.column(1).to_pylist()]
+            cols, vals = ([x[k].astype(t).tobytes() for x in found] for k, t in ((0, "<i4"), (1, "<u2")))
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "y": b.column(2), "col": pa.array(cols, pa.binary()), "val": pa.array(vals, pa.binary())})
+
+    found = rows.select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, col binary, val binary")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("y", "col", "val"), F.xxhash64("col", "val")).alias("r"))
+    got = sorted(one.select("doc_id", "r.y", "r.col", "r.val").collect(), key=lambda r: r["doc_id"])
+    bags = [(np.frombuffer(r["col"], "<i4").astype(np.int32), np.frombuffer(r["val"], "<u2").astype(np.float32)) for r in got]
+    return Bags.join(bags), np.array([r["y"] for r in got], dtype=int)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Chain:
-    rows = labelled_sample(docs, labels, "toxic", text_col, id_col)
-    texts = [t for _, t, _ in rows]
-    return train_chain(texts, categories(texts, np.array([y for _, _, y in rows], dtype=int)))
+    bags, y = labelled_sample(docs, labels, "toxic", text_col, id_col)
+    return train_on(bags, categories(bags, y))
 
 
 SCHEMA = "doc_id long, " + ", ".join(f"p_{c} double" for c in CATEGORIES) + ", toxic boolean"

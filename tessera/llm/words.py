@@ -13,12 +13,13 @@ CACHE_ENTRIES = 100_000
 
 
 def features(token: str) -> list[int]:
-    """Hashed features of one token, without what stands around its letters; none if it has no letter."""
+    """Hashed features of one token, without what stands around its letters; none if it has no letter. Words have
+    even numbers, beginnings odd ones."""
     word = _EDGES.sub("", token)
     if not word:
         return []
-    names = [f"w {word}"] + [f"p {word[:n]}" for n in range(3, 7) if len(word) > n]
-    return [zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in names]
+    hashed = lambda x: zlib.crc32(x.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 2)
+    return [hashed(f"w {word}")] + [hashed(f"p {word[:n]}") | 1 for n in range(3, 7) if len(word) > n]
 
 
 class Bags:
@@ -30,20 +31,14 @@ class Bags:
     @staticmethod
     def of(texts: list[str]) -> Bags:
         known: dict[str, list[int]] = {}
-        rows, cols, vals = [], [], []
-        for i, text in enumerate(texts):
-            ids: list[int] = []
-            for t in set(text.lower().split()):
-                found = known.get(t)
-                if found is None:
-                    found = known[t] = features(t)
-                ids += found
-            col, val = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
-            rows.append(np.full(len(col), i, np.int32))
-            cols.append(col.astype(np.int32))
-            vals.append(val.astype(np.float32))
-        join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        return Bags(len(texts), join(rows), join(cols), join(vals))
+        return Bags.join([bag(t, known) for t in texts])
+
+    @staticmethod
+    def join(bags: list[tuple[np.ndarray, np.ndarray]]) -> Bags:
+        """Of each row's features and how often each occurs."""
+        rows = [np.full(len(col), i, np.int32) for i, (col, _) in enumerate(bags)]
+        joined = lambda parts, t: np.concatenate(parts) if parts else np.zeros(0, t)
+        return Bags(len(bags), joined(rows, np.int32), joined([c for c, _ in bags], np.int32), joined([v for _, v in bags], np.float32))
 
     def take(self, rows: np.ndarray) -> Bags:
         """Some of the rows, numbered anew."""
@@ -53,6 +48,20 @@ class Bags:
         return Bags(len(rows), at[self.row[on]], self.col[on], self.val[on])
 
 
+def bag(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """A whole text's features, in order, and how many of its distinct tokens have each. ``known`` holds tokens seen."""
+    ids: list[int] = []
+    for t in set(text.lower().split()):
+        found = known.get(t)
+        if found is None:
+            if len(known) >= CACHE_ENTRIES:
+                known.clear()
+            found = known[t] = features(t)
+        ids += found
+    col, val = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
+    return col.astype(np.int32), val.astype(np.float32)
+
+
 class TokenWeights(dict):
     """Token -> its row in ``rows``: the sum of its features' weights, for each output."""
 
