@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import language_id, linear, quality, toxicity, words
 
@@ -52,12 +53,48 @@ def test_held_out_rows_teach_nothing(docs, speech):
 def test_long_texts_are_read_whole(monkeypatch, speech):
     model = language_id.train([(lang, t) for _, t, lang, _ in speech])
     long = " ".join(t for _, t, lang, _ in speech if lang == "bb")
-    want, _ = model.scores([long])
+    want = model.scores([long])[0]
     monkeypatch.setattr(language_id, "CHUNK", 500)
-    got, _ = model.scores([long])
+    got = model.scores([long])[0]
     assert np.allclose(got, want, atol=1e-6) and model.predict([long])[0] == ["bb"]
 
 
+OTHER = "zu pli qua vex dor wy jem fro gul pax".split()
+
+
+def test_rejection(docs, speech):
+    """Texts of a language that wasn't learned go; those of two learned languages, and single words, stay."""
+    rng = random.Random(11)
+    foreign = [(2000 + k, " ".join("".join(rng.choice(OTHER) for _ in range(rng.randint(1, 4))) for _ in range(60)), None, "s") for k in range(40)]
+    noise = [(3000 + k, " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(60)), None, "s") for k in range(40)]
+    mixed = [(4000 + k, prose(rng, "aa", 30) + " " + prose(rng, "bb", 30), None, "s") for k in range(40)]
+    short = [(5000 + k, prose(rng, "cc", 1), None, "s") for k in range(40)]
+    got = {r.doc_id: r.accepted for r in language_id.identify(docs([*speech, *foreign, *noise, *mixed, *short])).collect()}
+    assert not any(got[i] for i, *_ in foreign + noise)
+    assert all(got[i] for i, *_ in mixed + short)
+
+
+def test_left_out_languages(speech):
+    """Trained without a language, its texts are rejected."""
+    for out in SYLLABLES:
+        model = language_id.train([(lang, t) for _, t, lang, _ in speech if lang != out])
+        assert not model.predict([t for _, t, lang, _ in speech if lang == out])[2].any()
+        assert model.predict([t for _, t, lang, _ in speech if lang != out])[2].mean() > 0.99
+
+
+def test_repeated_ids_teach_once(docs, speech):
+    rows = [(1, f"kato mira {k}", "aa", "s") for k in range(500)] + speech
+    found = language_id.labelled_sample(docs(rows), F.lit(True), "text", "lang", "doc_id")
+    assert sum(t.startswith("kato mira ") for _, t in found) <= 1 and len(found) <= len({i for i, *_ in rows})
+
+
+def test_odd_rows_of_language_id(docs, speech):
+    df = docs([*ODD, *speech], extra=("lang_pred", "accepted"))
+    kept = language_id.keep_accepted(df)
+    assert kept.columns == df.columns and kept.limit(0).count() == 0
+    assert language_id.keep_accepted(df.limit(0)).count() == 0
+
+
 def test_keep_accepted(docs, speech):
     rows = [*speech[:60], (1000, None, "aa", "s"), (1001, "12 34 !!", "aa", "s")]
     df = docs(rows)
@@ -87,7 +124,7 @@ def test_toxicity_of_unlabelled_rows(spark, docs):
     got = {r.doc_id: r for r in toxicity.classify(df, labels).collect()}
     held = [(got[i].toxic, bool(y)) for i, _, y in rows if i >= 400]
     assert sum(a and not b for a, b in held) == 0 and sum(a and b for a, b in held) >= 0.95 * sum(b for _, b in held)
-    assert all(0 <= got[i][c] <= 1 for i in got for c in ("p_insult", "p_severe", "p_toxic"))
+    assert all(0 <= got[i][c] <= 1 for i in got for c in ("p_severe", "p_explicit", "p_toxic"))
 
 
 def test_chain_feeds_earlier_categories():
@@ -101,6 +138,36 @@ def test_chain_feeds_earlier_categories():
     assert ((p[:, 1] > 0.5) == first).all()
 
 
+def test_grades_come_from_other_folds():
+    """A word that only one toxic text has says nothing of that text; words of many do."""
+    rows = talk(400, 9)
+    texts, y = [t for _, t, _ in rows], np.array([y for *_, y in rows])
+    texts[0] = prose(random.Random(1), "aa", 40) + " lonely solitary unique"
+    got = toxicity.categories(words.Bags.of(texts), y)
+    assert list(got) == list(toxicity.CATEGORIES) and (got["toxic"] == (y == 1)).all()
+    assert not got["explicit"][0] and not (got["severe"] & ~got["explicit"]).any() and not (got["explicit"] & ~got["toxic"]).any()
+    assert got["explicit"].sum() > 0.5 * y.sum()
+
+
+def test_toxic_words_far_into_a_text(spark, docs):
+    """Whole texts are learned from and scored, however long; an id's rows teach once."""
+    rng = random.Random(21)
+    rows = [(i, prose(rng, "aa", 4_000) + (" idiot moron trash vile scum" if i % 4 == 0 else "") + prose(rng, "aa", 50)) for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    df = docs([(i, t, "en", "s") for i, t in rows] + [(3, "kato mira", "en", "s")] * 50)
+    got = {r.doc_id: r.toxic for r in toxicity.classify(df, labels).collect()}
+    assert all(got[i] == (i % 4 == 0) for i in range(80, 120))
+    assert toxicity.labelled_sample(df, labels)[0].n == 80
+
+
+def test_minimise_finds_the_least():
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(300, 5)), (rng.random(300) < 0.4).astype(float)
+    w, b = linear.fit_logistic(linear.Dense(x), y, l2=1.0)
+    p = linear.sigmoid(x @ w + b)
+    assert np.abs(x.T @ (p - y) + w).max() < 1e-3 and abs((p - y).sum()) < 1e-3
+
+
 def test_scorer_equals_training_rows():
     rows = talk(200, 3)
     texts, y = [t for _, t, _ in rows], np.array([y for *_, y in rows])
@@ -142,17 +209,67 @@ def test_quality_of_unlabelled_rows(spark, docs):
     assert all(got[i].keep for i, _, _, y in rows if y) or np.mean([got[i].keep for i, _, _, y in rows if y]) > 0.98
 
 
+def two_views(n=600, seed=5):
+    """A strong text view, and metadata that tell as much but of which a few labelled rows show little."""
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, 2, n).astype(float)
+    text = np.column_stack([y * 4 + rng.normal(size=n), rng.normal(size=(n, 3))])
+    source = np.where(rng.random(n) < 0.95, y, 1 - y).astype(int) * 20 + rng.integers(0, 20, n)
+    cells = (source * quality.LANGUAGES + 3) * quality.SIZES + rng.integers(0, 8, n)
+    few = np.concatenate([np.flatnonzero(y == 0)[:8], np.flatnonzero(y == 1)[:8]])
+    return text, cells, y, few, np.setdiff1d(np.arange(n), few)
+
+
 def test_cotraining_helps_the_weaker_view():
     """With a few labelled rows, a view learns from what the other is sure of."""
-    rng = np.random.default_rng(5)
-    y = rng.integers(0, 2, 600).astype(float)
-    a = np.column_stack([y * 4 + rng.normal(size=600), rng.normal(size=600)])
-    b = np.column_stack([np.repeat(y[:, None], 8, 1) * rng.random((600, 8)) * 2 + rng.normal(size=(600, 8)) * 0.7, rng.normal(size=(600, 30))])
-    few = np.concatenate([np.flatnonzero(y == 0)[:8], np.flatnonzero(y == 1)[:8]])
-    rest = np.setdiff1d(np.arange(600), few)
-    views, pools = [a[few], b[few]], [a[rest], b[rest]]
-    hit = lambda m: ((m.raw(b[rest]) > 0) == (y[rest] > 0)).mean()
-    assert hit(quality.cotrain(views, y[few], pools)[1]) > hit(quality.cotrain(views, y[few], pools, rounds=0)[1])
+    text, cells, y, few, rest = two_views()
+    hits = []
+    for rounds in (0, 4):
+        views = quality.Views(text[few], cells[few], y[few])
+        quality.cotrain([views], quality.LocalPool(text[rest], cells[rest]), rounds)
+        hits.append(((views.raw(text[rest], cells[rest])[:, 1] > 0) == (y[rest] > 0)).mean())
+    assert hits[1] > hits[0] + 0.1
+
+
+def test_rounds_against_all_rows_at_once():
+    """One round's text view is what a fit of labelled and handed-over rows together gives."""
+    text, cells, y, few, rest = two_views()
+    views = quality.Views(text[few], cells[few], y[few])
+    views.sure = [views.sure[0], (0.5, 0.5)]
+    given = views.table[cells[rest]]
+    on, off = rest[given >= 0.5], rest[given <= -0.5]
+    quality.STEPS, steps = 30, quality.STEPS
+    quality.cotrain([views], quality.LocalPool(text[rest], cells[rest]), 1)
+    quality.STEPS = steps
+    x = views._z(np.concatenate([text[few], text[on], text[off]]))
+    t = np.concatenate([y[few], np.ones(len(on)), np.zeros(len(off))])
+    u = np.concatenate([np.ones(len(few)), np.full(len(on), min(0.25, 8 / len(on))), np.full(len(off), min(0.25, 8 / len(off)))])
+    grad = x.T @ (u * (linear.sigmoid(x @ views.w) - t)) + np.append(quality.L2 * views.w[:-1], 0)
+    assert np.abs(grad).max() < 0.01
+
+
+def test_passes_equal_memory(spark):
+    """Sums over the written table are those over the rows in memory, however they are dealt."""
+    rng = np.random.default_rng(3)
+    text, cells, y = rng.normal(size=(300, quality.N_TEXT)).astype("<f4"), rng.integers(0, quality.CELLS, 300), rng.integers(0, 2, 300).astype(float)
+    views = quality.Views(text[:40].astype(float), cells[:40], y[:40])
+    views.sure = [(0.1, 0.1), (0.0, 0.0)]
+    rows = [(k, int(y[k]) if k < 40 else None, text[k].tobytes(), int(cells[k])) for k in range(300)]
+    want = quality.LocalPool(text[40:].astype(float), cells[40:]).sums([views.for_tasks()], True)
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "doc_id long, y int, f_text binary, cell int").repartition(parts)
+        got = quality.Pool(df).sums([views.for_tasks()], True)
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) <= parts for k in want)
+
+
+def test_null_and_repeated_ids_of_labels(spark, docs):
+    rows = pages(200, 3)
+    df = docs([(i, t, "en", s) for i, t, s, _ in rows] + [(None, "no id", "en", "s")] * 30 + [(-1, "minus one", "en", "s")] + [(1, "x y z", "en", "s")] * 30)
+    labels = spark.createDataFrame([(i, y, 0) for i, _, _, y in rows] + [(-1, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    table = quality.features(df, quality.label_sample(labels, "quality", "doc_id"))
+    assert table.filter("doc_id is null and y is not null").count() == 0 and table.filter("doc_id = -1 and y = 0").count() == 1
+    out = quality.classify(df, labels)
+    assert out.count() == 261
 
 
 def test_quality_defined_cases(spark, docs):
