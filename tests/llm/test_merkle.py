@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import merkle
@@ -24,7 +25,7 @@ def test_edited_texts(docs):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         assert (r.fingerprint == r.edited_fingerprint) == (t == edited)
     assert got[5, 33].fingerprint == got[6, 33].fingerprint and got[5, 33].near_next == 1.0
-    assert got[8, 100_000].near_edited > 0.4
+    assert got[8, 100_000].near_edited == pytest.approx(0.4)  # one repeated leaf of two and of three
     assert len(merkle.compare_with_edits(docs(ODD)).collect()) == len(ODD)
 
 
