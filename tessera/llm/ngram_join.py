@@ -43,7 +43,7 @@ from .common import discard, fresh, hash_below, same_row, small_batches, text_or
 from .components import connected
 
 WORDS, SHARE = 4, 85
-NEAR, BLOCK = 32, 512
+NEAR, BLOCK = 8, 512
 #: The part of the lesser prefix in which a pair must have met to be picked.
 PICK_SHARE = 0.25
 #: Documents in the sample that sets the order, and in how many of them an n-gram must be to count as common.
@@ -353,22 +353,55 @@ def far_pairs(crowds: DataFrame, prefixes: DataFrame, share: int = SHARE) -> Dat
     met = crowds.groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("grams"))
     rows = left.select(columns).unionByName(right.select(columns)).join(prefixes.join(met, "id"), "id")
 
-    def join(pdf):
-        import pandas as pd
-
-        left, right, gram = pdf[~pdf["probe"]], pdf[pdf["probe"]], pdf["gram"].iloc[0]
-        take = lambda d: [np.asarray(x, np.int64) for x in d["prefix"]]
-        li, ri, lc, rc = left["id"].to_numpy(), right["id"].to_numpy(), left["c"].to_numpy(), right["c"].to_numpy()
-        minor, lg, rg, out = left["minor"].to_numpy(), left["grams"].to_numpy(), right["grams"].to_numpy(), []
-        if len(left) and len(right):
-            for s, ok, _ in tree_join(take(left), left["n"].to_numpy(), take(right), right["n"].to_numpy(), share):
-                for q in ok[rc[ok] != lc[s]]:
-                    # Two probes meet twice, as set and as probe; a pair under several n-grams counts under the first.
-                    if (not minor[s] or li[s] < ri[q]) and np.intersect1d(lg[s], rg[q])[0] == gram:
-                        out.append((min(li[s], ri[q]), max(li[s], ri[q])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy(*key, "i", "j").applyInPandas(join, "a long, b long")
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, group in _groups(batches, len(key) + 2):
+            probe, minor, ids, sizes, c, prefix, grams = group
+            left, right = np.flatnonzero(~probe), np.flatnonzero(probe)
+            out = []
+            if len(left) and len(right):
+                for k, ok, _ in tree_join([prefix[x] for x in left], sizes[left], [prefix[x] for x in right], sizes[right], share):
+                    s = left[k]
+                    for q in right[ok][c[right[ok]] != c[s]]:
+                        # Two probes meet twice, as set and as probe; a pair under several n-grams counts under the first.
+                        if (not minor[s] or ids[s] < ids[q]) and np.intersect1d(grams[s], grams[q])[0] == gram:
+                            out.append((min(ids[s], ids[q]), max(ids[s], ids[q])))
+            if out:
+                yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    keys = [*key, "i", "j"]
+    rows = rows.select(*keys, "probe", "minor", "id", "n", "c", "prefix", "grams")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, "a long, b long")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[int, list]]:
+    """Rows that come sorted by their first ``n_keys`` columns, group by group, whatever batches a group spans: the first
+    key, and the other columns as arrays (lists as lists of arrays)."""
+
+    def column(c: pa.Array):
+        if pa.types.is_list(c.type):
+            flat, at = c.values.to_numpy(), c.offsets.to_numpy()
+            return [flat[x:y] for x, y in zip(at, at[1:], strict=False)]
+        return c.to_numpy(zero_copy_only=False)
+
+    def joined(parts: list):
+        return [x for p in parts for x in p] if isinstance(parts[0], list) else np.concatenate(parts)
+
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [column(c) for c in batch.columns]
+        keys = np.column_stack([c.astype(np.int64) for c in columns[:n_keys]])
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+        for x, y in zip(starts, starts[1:], strict=False):
+            key = tuple(keys[x].tolist())
+            if key != now:
+                if held:
+                    yield now[0], [joined(parts) for parts in zip(*held, strict=True)]
+                held, now = [], key
+            held.append([c[x:y] for c in columns[n_keys:]])
+    if held:
+        yield now[0], [joined(parts) for parts in zip(*held, strict=True)]
 
 
 def whole_sets(ids: DataFrame, docs: DataFrame, order, n: int = WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
