@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Codes of the classes that the engine's own rules name.
 CLASS_CODES = {
@@ -107,6 +108,12 @@ def states(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATES, "code int, abbreviation string, name string")
 
 
+def with_states(df: DataFrame, code: str = "code") -> DataFrame:
+    """Adds abbreviation and name of the state with the code; empty texts where there is none."""
+    named = states(df.sparkSession).select(F.col("code").alias(code), "abbreviation", F.col("name").alias("state"))
+    return df.join(F.broadcast(named), code, "left").fillna("", ["abbreviation", "state"])
+
+
 def state_code(text: str) -> int:
     """The code of a state's name or (in any case) abbreviation; 0 if unknown."""
     return next((c for c, a, n in STATES if n == text or a == text.upper()), 0)

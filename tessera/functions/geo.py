@@ -77,28 +77,16 @@ def point_tiles(lat: Column, lon: Column, min_zoom: Column) -> Column:
     )
 
 
-def box_tiles(latT: Column, lonL: Column, latB: Column, lonR: Column, min_zoom: Column, center: Column | None = None) -> Column:
-    """All tiles (zoom, x, y) that a box touches, with a border; with ``center``, those of its middle alone."""
-    if center is not None:
-        lat, lon = (latT + latB) / 2.0, (lonL + lonR) / 2.0
-        latT, latB = F.when(center, lat).otherwise(latT), F.when(center, lat).otherwise(latB)
-        lonL, lonR = F.when(center, lon).otherwise(lonL), F.when(center, lon).otherwise(lonR)
-        border = F.when(center, 0.0).otherwise(BORDER).cast("float")
-    else:
-        border = F.lit(BORDER).cast("float")
-
-    def at(z: Column) -> Column:
-        last = F.pow(F.lit(2.0), z).cast("int") - 1
-        inside = lambda v: F.least(F.greatest(v.cast("int"), F.lit(0)), last)
-        x0, x1 = inside(tile_x(lonL, z) - border), inside(tile_x(lonR, z) + border)
-        y0, y1 = inside(tile_y(latT, z) - border), inside(tile_y(latB, z) + border)
-        none = F.array().cast("array<struct<zoom:int,x:int,y:int>>")
-        cells = F.flatten(
-            F.transform(F.sequence(y0, y1), lambda y: F.transform(F.sequence(x0, x1), lambda x: F.struct(z.alias("zoom"), x.alias("x"), y.alias("y"))))
-        )
-        return F.when((x0 <= x1) & (y0 <= y1), cells).otherwise(none)
-
-    return F.flatten(F.transform(served(min_zoom), at))
+def box_span(latT: Column, lonL: Column, latB: Column, lonR: Column, zoom: Column, center: Column) -> Column:
+    """The tiles of a zoom that a box touches, with a border, as (x0, x1, y0, y1); with ``center`` only its middle's."""
+    middle = lambda whole, a, b: F.when(center, (a + b) / 2.0).otherwise(whole)
+    border = F.when(center, 0.0).otherwise(BORDER).cast("float")
+    last = F.pow(F.lit(2.0), zoom).cast("int") - 1
+    inside = lambda v: F.least(F.greatest(v.cast("int"), F.lit(0)), last)
+    return F.struct(
+        inside(tile_x(middle(lonL, lonL, lonR), zoom) - border).alias("x0"), inside(tile_x(middle(lonR, lonL, lonR), zoom) + border).alias("x1"),
+        inside(tile_y(middle(latT, latT, latB), zoom) - border).alias("y0"), inside(tile_y(middle(latB, latT, latB), zoom) + border).alias("y1"),
+    )
 
 
 def local_xy(lat: Column, lon: Column, zoom: Column, x: Column, y: Column) -> tuple[Column, Column]:

@@ -59,6 +59,19 @@ def numbered(df: DataFrame, group: str, order: list[str], first: int, name: str)
     return df.join(ahead, group).withColumn(name, F.lit(first).cast("long") - F.col("__ahead") - F.row_number().over(inside) + 1).drop("__ahead")
 
 
+def bucket(zoom: Column) -> Column:
+    """The stored zoom from which a line of this zoom is drawn."""
+    return F.when(zoom >= 15, 15).otherwise(zoom - (zoom % 2 == 0).cast("int"))
+
+
+def shared_nodes(points: DataFrame, first: int = FIRST_ID) -> tuple[DataFrame, DataFrame]:
+    """Points (bucket, lat, lon) with the id of their node, and the nodes: one for each bucket and position."""
+    place = ["bucket", "lat", "lon"]
+    spots = points.select(*place).distinct().withColumn("group", F.pmod(F.xxhash64(*place), F.lit(4096)))
+    spots = numbered(spots, "group", place, first, "nid").drop("group")
+    return points.join(spots, place), spots
+
+
 def import_boundaries(placemarks: DataFrame, style: Style, classes: Classes | None = None, first_nid: int = FIRST_ID, first_wid: int = FIRST_ID) -> dict[str, DataFrame]:
     """The tables' rows for placemarks (``sources.kml``). To add to a store, give ids below its least ones."""
     classes = classes or Classes(style.classes)
@@ -76,11 +89,9 @@ def import_boundaries(placemarks: DataFrame, style: Style, classes: Classes | No
     rings = rings.withColumn("pts", coordinates(F.col("r.coordinates"))).filter(F.size("pts") > 0)
     segments = rings.select("place", "ring", "class", "line", "line_zoom", "folder", "name", F.posexplode(split_ring(F.col("pts"))).alias("seg", "pts")).filter(F.size("pts") > 0)
     segments = numbered(segments, "place", ["ring", "seg"], first_wid, "wid").filter("line")
-    # One node for each position, by the zoom at which it is drawn.
-    points = segments.select("wid", "line_zoom", F.posexplode("pts").alias("pos", "q")).select("wid", "line_zoom", "pos", F.col("q.lat").alias("lat"), F.col("q.lon").alias("lon"))
-    spots = points.select("line_zoom", "lat", "lon").distinct().withColumn("group", F.pmod(F.xxhash64("line_zoom", "lat", "lon"), F.lit(4096)))
-    spots = numbered(spots, "group", ["line_zoom", "lat", "lon"], first_nid, "nid").drop("group")
-    found = points.join(spots, ["line_zoom", "lat", "lon"])
+    points = segments.select("wid", bucket(F.col("line_zoom")).alias("bucket"), F.posexplode("pts").alias("pos", "q"))
+    points = points.select("wid", "bucket", "pos", F.col("q.lat").alias("lat"), F.col("q.lon").alias("lon"))
+    found, spots = shared_nodes(points, first_nid)
     nds = found.groupBy("wid").agg(F.sort_array(F.collect_list(F.struct("pos", "nid"))).alias("a")).select("wid", F.col("a.nid").alias("nds"))
     way_range = ingest.boxes(points, "wid")
     placed = segments.select("wid", F.col("line_zoom").alias("min_zoom"), F.lit(False).alias("center")).join(way_range, "wid")

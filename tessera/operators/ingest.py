@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..dims import Classes
 from ..functions import geo, names, tags
+from ..sources.scratch import written
 from ..style import NEVER, Style
 
 #: Square degrees from which on a polygon relation's members aren't kept, single precision.
@@ -36,10 +37,12 @@ def styled_classes(spark, style: Style, classes: Classes) -> DataFrame:
 def _styles(df: DataFrame, styled: DataFrame, classes: Classes) -> DataFrame:
     """Adds ``s1``, the own class' style, and ``s2``, that of plain buildings for features with the building flag."""
     parts = F.struct(*(c for c in styled.columns if c != "class"))
-    own = F.broadcast(styled.select(F.col("class"), parts.alias("s1")))
-    plain = F.broadcast(styled.filter(F.col("class") == classes["building:yes"]).select(parts.alias("s2")))
-    out = df.join(own, "class", "left")
-    return out.join(plain, F.col("flags").bitwiseAND(S.BUILDING) != 0, "left")
+    out = df.join(F.broadcast(styled.select(F.col("class"), parts.alias("s1"))), "class", "left")
+    # One row of the style sheet at most.
+    plain = styled.filter(F.col("class") == classes["building:yes"]).first()
+    types = {f.name: f.dataType for f in styled.schema if f.name != "class"}
+    s2 = F.struct(*(F.lit(plain[c] if plain else None).cast(t).alias(c) for c, t in types.items()))
+    return out.withColumn("s2", F.when((F.col("flags").bitwiseAND(S.BUILDING) != 0) & F.lit(plain is not None), s2))
 
 
 def _described(df: DataFrame, classes: Classes, way: bool, compat: bool) -> DataFrame:
@@ -206,10 +209,18 @@ def placed_points(df: DataFrame, kind: str, key: str) -> DataFrame:
     )
 
 
+def spans(df: DataFrame, key: str) -> DataFrame:
+    """For boxes (latT, lonL, latB, lonR, min_zoom, center) and each zoom that serves them, the tiles they touch."""
+    rows = df.select(F.col(key).alias("ref"), "latT", "lonL", "latB", "lonR", "center", F.explode(geo.served(F.col("min_zoom"))).alias("zoom"))
+    span = geo.box_span(*(F.col(c) for c in ("latT", "lonL", "latB", "lonR", "zoom", "center")))
+    return rows.select("ref", "zoom", span.alias("s")).select("ref", "zoom", "s.*")
+
+
 def placed_boxes(df: DataFrame, kind: str, key: str) -> DataFrame:
-    """tile_ref rows of boxes (latT, lonL, latB, lonR, min_zoom, center)."""
-    cells = geo.box_tiles(F.col("latT"), F.col("lonL"), F.col("latB"), F.col("lonR"), F.col("min_zoom"), F.col("center"))
-    return df.select(F.col(key).alias("ref"), F.explode(cells).alias("t")).select(F.lit(kind).alias("kind"), "t.zoom", "t.x", "t.y", "ref")
+    """tile_ref rows of boxes (latT, lonL, latB, lonR, min_zoom, center). A box is unfolded zoom by zoom, row by row and
+    then cell by cell: a row of cells is the most that is ever held, however large the box."""
+    rows = spans(df, key).filter("x0 <= x1 and y0 <= y1").select("ref", "zoom", "x0", "x1", F.explode(F.sequence("y0", "y1")).alias("y"))
+    return rows.select(F.lit(kind).alias("kind"), "zoom", F.explode(F.sequence("x0", "x1")).alias("x"), "y", "ref")
 
 
 def greatest_changeset(*raw: DataFrame) -> DataFrame:
@@ -225,16 +236,20 @@ def counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def import_map(raw_nodes: DataFrame, raw_ways: DataFrame, raw_rels: DataFrame, style: Style, classes: Classes | None = None, compat: bool = False) -> dict[str, DataFrame]:
-    """The store's tables from raw elements (``sources.osm_xml``)."""
+    """The store's tables from raw elements (``sources.osm_xml``). Ten tables come of each element, so elements are
+    parsed once and described once, to written tables."""
     classes = classes or Classes(style.classes)
-    n, w, r = nodes(raw_nodes, style, classes, compat), ways(raw_ways, style, classes, compat), relations(raw_rels, style, classes, compat)
+    raw_nodes, raw_ways, raw_rels = (written(df, f"raw-{k}") for k, df in (("nodes", raw_nodes), ("ways", raw_ways), ("relations", raw_rels)))
+    n = written(nodes(raw_nodes, style, classes, compat), "nodes")
+    w = written(ways(raw_ways, style, classes, compat), "ways")
+    r = written(relations(raw_rels, style, classes, compat), "relations")
     node_coord = raw_nodes.select(F.col("id").alias("nid"), "lat", "lon")
     way_nds = w.select("wid", "nds")
     # Boxes are needed for selected ways and for members of kept relations.
     members = r.select(F.explode("members.wid").alias("wid")).distinct()
     needed = w.filter("selected").select("wid").unionByName(members).distinct()
-    way_range = way_ranges(way_nds.join(needed, "wid", "left_semi"), node_coord, compat)
-    rel_range = relation_ranges(r, way_range, compat)
+    way_range = written(way_ranges(way_nds.join(needed, "wid", "left_semi"), node_coord, compat), "way-ranges")
+    rel_range = written(relation_ranges(r, way_range, compat), "relation-ranges")
     refs = [
         placed_points(n, "node", "nid"),
         placed_boxes(w.filter("selected").join(way_range, "wid"), "way", "wid"),

@@ -20,7 +20,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("style", "map", "store"):
         a.add_argument(name)
     a.add_argument("--classes", help="class dictionary: one key:value a line")
-    a.add_argument("--strict", action="store_true", help="refuse unknown elements")
+    a.add_argument("--lenient", action="store_true", help="pass over unknown elements")
     a = add.add_parser("import-kml", help="boundary files added to a store")
     for name in ("style", "store"):
         a.add_argument(name)
@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("region", choices=sorted(REGIONS))
     for name in ("store", "out"):
         a.add_argument(name)
+    a.add_argument("--empty", action="store_true", help="tiles that hold nothing too")
     return top
 
 
@@ -41,11 +42,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("tessera").getOrCreate()
     classes = Classes.read(spark, args.classes) if getattr(args, "classes", None) else None
     if args.job == "import-osm":
-        jobs.import_osm(spark, args.style, args.map, args.store, classes=classes, strict=args.strict)
+        jobs.import_osm(spark, args.style, args.map, args.store, classes=classes, strict=not args.lenient)
     elif args.job == "import-kml":
         jobs.import_kml(spark, args.style, args.store, args.files, classes)
     elif args.job == "prefetch":
-        jobs.prefetch(open_store(spark, args.store), args.out, args.region)
+        jobs.prefetch(open_store(spark, args.store), args.out, args.region, empty=args.empty)
     else:
         tile = jobs.serve(open_store(spark, args.store), args.request).persist()
         encode.write_files(encode.encode_tiles(tile), args.out)

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..dims import ABBREVIATIONS, CLASS_CODES, REGIONS, SMALL_WORDS, STATES, Classes
+from ..dims import ABBREVIATIONS, CLASS_CODES, REGIONS, SMALL_WORDS, STATES, Classes, with_states
 from ..functions import geo, names, tags
 from ..operators import boundaries, encode, geometry, ingest, tiler
+from ..sources import kml, osm_xml
 from ..sources.kml import coordinates
+from ..sources.scratch import scratch_path, written
 from ..sources.store import Store
 from ..style import NEVER, Style, color_parts, line_mode_bits, min_zoom
 from . import jobs
@@ -177,14 +179,19 @@ def class_fold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def class_override(spark: SparkSession, d: str) -> DataFrame:
+    """Parks by protection and ownership, pistes by difficulty, from their tags."""
     c = _style()[1]
+    tag = lambda k, v: F.struct(F.lit(k).alias("k"), v.alias("v"))
     p = _t(spark, d, "part").select(
         F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 3 == 0, 183).when(F.col("p_size") % 3 == 1, 187).otherwise(0).alias("code"),
-        F.expr("cast(p_partkey % 5 as int)").alias("protect"), (F.col("p_partkey") % 4 != 0).alias("national"),
-        (F.col("p_partkey") % 2 == 0).alias("down"), (F.col("p_partkey") % 3 == 0).alias("nordic"), F.expr("cast(p_partkey % 7 as int) - 1").alias("grade"),
+        F.array(
+            tag("protect_class", F.expr("cast(p_partkey % 5 as string)")), tag("ownership", F.when(F.col("p_partkey") % 4 == 0, "private").otherwise("national")),
+            tag("piste:type", F.when(F.col("p_partkey") % 2 == 0, "downhill").otherwise("sled")), tag("piste:type", F.when(F.col("p_partkey") % 3 == 0, "nordic").otherwise("sled")),
+            tag("piste:difficulty", F.get(F.array(*map(F.lit, ("unknown", "novice", "easy", "intermediate", "advanced", "expert", "freeride"))), F.expr("cast(p_partkey % 7 as int)"))),
+        ).alias("tags"),
     )
-    piste = (F.col("down"), F.col("nordic"), F.col("grade"))
-    return p.select("id", tags.override_class(c, F.col("code"), F.col("protect"), F.col("national"), piste).alias("class"))
+    protect, national = tags.protection(F.col("tags"))
+    return p.select("id", tags.override_class(c, F.col("code"), protect, national, tags.pistes(F.col("tags"))).alias("class"))
 
 
 def flag_bits(spark: SparkSession, d: str) -> DataFrame:
@@ -345,16 +352,15 @@ def _sql_abbrev() -> str:
 
 
 def state_codes(spark: SparkSession, d: str) -> DataFrame:
-    s = F.broadcast(spark.createDataFrame(STATES, "code int, abbreviation string, state string"))
     c = _t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.expr("cast(c_custkey % 60 as int)").alias("code"))
-    return c.join(s, "code", "left").select("id", F.coalesce("abbreviation", F.lit("")).alias("abbreviation"), F.coalesce("state", F.lit("")).alias("state"))
+    return with_states(c).drop("code")
 
 
 def class_codes(spark: SparkSession, d: str) -> DataFrame:
-    dim = F.broadcast(_style()[1].frame(spark))
-    t = _tagged(spark, d).select("id", F.posexplode("tags").alias("pos", "t"))
-    joined = t.join(dim, (F.col("t.k") == F.col("key")) & (F.col("t.v") == F.col("value")), "left")
-    return joined.select("id", "pos", F.coalesce("code", F.lit(0)).alias("code"), F.coalesce("is_building", F.lit(False)).alias("is_building"), F.coalesce("is_boundary", F.lit(False)).alias("is_boundary"))
+    classes = _style()[1]
+    t = _tagged(spark, d).select("id", F.posexplode("tags").alias("pos", "t")).select("id", "pos", tags.class_code(classes, F.col("t.k"), F.col("t.v")).alias("code"))
+    kind = F.broadcast(classes.frame(spark).select("code", "is_building", "is_boundary"))
+    return t.join(kind, "code", "left")
 
 
 _CLASS_CODES = f"""SELECT id, pos, {_TAG_CODES}[1 + digit] AS code, digit = 1 AS is_building, digit IN (2, 6) AS is_boundary FROM
@@ -403,17 +409,33 @@ def bbox_tiles(spark: SparkSession, d: str) -> DataFrame:
     w = way_bbox(spark, d).withColumn("min_zoom", F.lit(0)).withColumn("center", F.col("wid") % 5 == 0)
     w = w.withColumn("latB", F.greatest("latB", F.col("latT") - 0.05)).withColumn("lonR", F.least("lonR", F.col("lonL") + 0.05))
     placed = ingest.placed_boxes(w, "way", "wid")
-    return placed.filter("zoom <= 11").groupBy("ref", "zoom").agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    return placed.groupBy("ref", "zoom").agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
 
 
 def _sql_bbox_tiles() -> str:
     cells = _with(_NODES, _REFS, _RANGE, _ZOOMS) + ", small AS (SELECT wid, \"latT\", \"lonL\", greatest(\"latB\", \"latT\" - 0.05::DOUBLE) AS \"latB\", least(\"lonR\", \"lonL\" + 0.05::DOUBLE) AS \"lonR\" FROM way_range)"
     cells += ', box AS (SELECT wid, CAST(CASE WHEN wid % 5 = 0 THEN 0 ELSE 0.0625 END AS FLOAT) AS border, CASE WHEN wid % 5 = 0 THEN ("latT" + "latB") / 2 ELSE "latT" END AS t, CASE WHEN wid % 5 = 0 THEN ("latT" + "latB") / 2 ELSE "latB" END AS b, CASE WHEN wid % 5 = 0 THEN ("lonL" + "lonR") / 2 ELSE "lonL" END AS l, CASE WHEN wid % 5 = 0 THEN ("lonL" + "lonR") / 2 ELSE "lonR" END AS r FROM small)'
     edge = lambda v, sign: f"least(greatest({_int(f'{v} {sign} border')}, 0), CAST(pow(2, zoom) AS INT) - 1)"
-    cells += f", span AS (SELECT wid AS ref, zoom, {edge(_tile_x('l'), '-')} AS x0, {edge(_tile_x('r'), '+')} AS x1, {edge(_tile_y('t'), '-')} AS y0, {edge(_tile_y('b'), '+')} AS y1 FROM box, zooms WHERE zoom <= 11)"
+    cells += f", span AS (SELECT wid AS ref, zoom, {edge(_tile_x('l'), '-')} AS x0, {edge(_tile_x('r'), '+')} AS x1, {edge(_tile_y('t'), '-')} AS y0, {edge(_tile_y('b'), '+')} AS y1 FROM box, zooms)"
     return cells + " SELECT ref, zoom, CAST((x1 - x0 + 1) * (y1 - y0 + 1) AS BIGINT) AS n, x0, x1, y0, y1 FROM span"
 
 
+def box_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The tiles that the whole boxes of ways and relations touch, at all zooms, counted without being listed."""
+    boxes = way_bbox(spark, d).withColumnRenamed("wid", "id").unionByName(rel_bbox(spark, d).select((-F.col("rid")).alias("id"), "latT", "lonL", "latB", "lonR"))
+    s = ingest.spans(boxes.withColumn("min_zoom", F.lit(0)).withColumn("center", F.col("id") % 5 == 0), "id")
+    return s.select("ref", "zoom", "x0", "x1", "y0", "y1", F.expr("cast(x1 - x0 + 1 as bigint) * (y1 - y0 + 1)").alias("n"))
+
+
+def _sql_box_spans() -> str:
+    middle = lambda a, b, own: f'CASE WHEN id % 5 = 0 THEN ("{a}" + "{b}") / 2 ELSE "{own}" END'
+    sql = _with(_NODES, _REFS, _RANGE, _MEMBERS, _REL_RANGE, _ZOOMS) + ', every AS (SELECT wid AS id, "latT", "lonL", "latB", "lonR" FROM way_range UNION ALL SELECT -rid, "latT", "lonL", "latB", "lonR" FROM rel_range WHERE rid IN (SELECT c_custkey FROM customer))'
+    sql += f', box AS (SELECT id, CAST(CASE WHEN id % 5 = 0 THEN 0 ELSE 0.0625 END AS FLOAT) AS border, {middle("latT", "latB", "latT")} AS t, {middle("latT", "latB", "latB")} AS b, {middle("lonL", "lonR", "lonL")} AS l, {middle("lonL", "lonR", "lonR")} AS r FROM every)'
+    edge = lambda v, sign: f"least(greatest({_int(f'{v} {sign} border')}, 0), CAST(pow(2, zoom) AS INT) - 1)"
+    sql += f", span AS (SELECT id AS ref, zoom, {edge(_tile_x('l'), '-')} AS x0, {edge(_tile_x('r'), '+')} AS x1, {edge(_tile_y('t'), '-')} AS y0, {edge(_tile_y('b'), '+')} AS y1 FROM box, zooms)"
+    return sql + " SELECT ref, zoom, x0, x1, y0, y1, CAST(x1 - x0 + 1 AS BIGINT) * (y1 - y0 + 1) AS n FROM span"
+
+
 def tile_nodes(spark: SparkSession, d: str) -> DataFrame:
     store = Store(spark, {"node_info": node_info(spark, d), "node_coord": node_coord(spark, d)})
     refs = ingest.placed_points(store["node_coord"].withColumn("nid", F.expr("nid * 21 div 20")).withColumn("min_zoom", F.lit(9)), "node", "nid")
@@ -447,7 +469,7 @@ _TILE_WAYS = _with(_NODES, _REFS, _RANGE, _WAYS, _ZOOMS, _WAY_PLACES) + """SELEC
 def _rel_store(spark: SparkSession, d: str) -> Store:
     rels, ranges = relations(spark, d), way_bbox(spark, d)
     rel_range = ingest.relation_ranges(rels, ranges)
-    info = node_info(spark, d).filter("nid % 4 > 0")
+    info = node_info(spark, d)
     return Store(
         spark,
         {
@@ -469,7 +491,7 @@ def tile_rels(spark: SparkSession, d: str) -> DataFrame:
 _KEPT = f"""kept AS (SELECT rid, wid, inner_ FROM rels LEFT JOIN rel_range USING (rid) JOIN members USING (rid)
  WHERE NOT center AND NOT (polygon AND coalesce({_AREA} >= CAST(0.128 AS FLOAT), false)))"""
 _REL_TILES = """rel_tiles AS (SELECT 3 AS zoom, CAST(r.rid % 8 AS INT) AS x, 2 AS y, r.rid, r.nid, r.class, r.type, coalesce(r.name, l.name) AS name
- FROM rels r JOIN rel_range g ON r.rid = g.rid LEFT JOIN (SELECT nid, name FROM node_info WHERE nid % 4 > 0) l ON r.nid = l.nid)"""
+ FROM rels r JOIN rel_range g ON r.rid = g.rid LEFT JOIN node_info l ON r.nid = l.nid)"""
 _TILE_RELS = _with(_NODES, _INFO, _REFS, _RANGE, _RELS, _MEMBERS, _REL_RANGE, _KEPT, _REL_TILES) + """SELECT zoom, x, y, rid, class, type, name,
  nid IN (SELECT nid FROM node_coord) AS has_center, CAST((SELECT count(*) FROM kept k WHERE k.rid = t.rid) AS INT) AS n_members FROM rel_tiles t"""
 
@@ -490,9 +512,9 @@ _EXPORT_ANTI = _with(_NODES, _INFO, _REFS, _RANGE, _WAYS, _RELS, _MEMBERS, _REL_
 
 def endpoint_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Ways that may be stitched: equal attributes, and an end in common. Counted by node, not paired."""
-    w = way_nds(spark, d).filter(F.size("nds") > 1).select("wid", F.explode(F.array_distinct(F.array(F.get("nds", F.lit(0)), F.element_at("nds", -1)))).alias("nid"))
-    ends = w.join(way_info(spark, d), "wid").groupBy("class", "flags", "layer", "nid").agg(F.count("*").alias("n"), F.min("wid").alias("first"), F.max("wid").alias("last"))
-    return ends.filter("n > 1").select("class", "flags", "layer", "nid", "n", "first", "last")
+    ways = way_nds(spark, d).filter(F.size("nds") > 1).join(way_info(spark, d), "wid")
+    group = ["class", "flags", "layer"]
+    return tiler.shared_ends(tiler.way_ends(ways, group), group)
 
 
 _ENDPOINTS = _with(_REFS, _WAYS) + """, n AS (SELECT wid, arg_min(nid, pos) AS h, arg_max(nid, pos) AS t, count(*) AS k FROM way_refs GROUP BY wid),
@@ -501,10 +523,11 @@ _ENDPOINTS = _with(_REFS, _WAYS) + """, n AS (SELECT wid, arg_min(nid, pos) AS h
 
 
 def coord_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    """One node for each position: events placed on a coarse grid."""
-    e = _t(spark, d, "events").select("event_id", F.expr("cast(event_id % 37 as double) / 2").alias("lat"), F.expr("cast(user_id % 23 as double) / 4").alias("lon"))
-    spots = e.groupBy("lat", "lon").agg(F.min("event_id").alias("nid"))
-    return e.join(spots, ["lat", "lon"]).select("event_id", "nid")
+    """One node for each position: events placed on a coarse grid, and the first event of each node."""
+    e = _t(spark, d, "events").select("event_id", F.lit(5).alias("bucket"), F.expr("cast(event_id % 37 as double) / 2").alias("lat"), F.expr("cast(user_id % 23 as double) / 4").alias("lon"))
+    found, _ = boundaries.shared_nodes(e)
+    first = found.groupBy(F.col("nid").alias("node")).agg(F.min("event_id").alias("first"))
+    return found.join(first, F.col("nid") == F.col("node")).select("event_id", F.col("first").alias("nid"))
 
 
 def consecutive_dedupe(spark: SparkSession, d: str) -> DataFrame:
@@ -626,7 +649,7 @@ def _sql_estimate() -> str:
 def region_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Populated tiles of a region that no tile's edge meets."""
     n = node_coord(spark, d).withColumn("min_zoom", F.lit(0))
-    store = Store(spark, {"tile_ref": ingest.placed_points(n, "node", "nid").filter("zoom <= 9")})
+    store = Store(spark, {"tile_ref": ingest.placed_points(n, "node", "nid")})
     return jobs.region_tiles(store, (41.03, -108.07, 36.01, -101.02))
 
 
@@ -634,15 +657,16 @@ def _sql_overlap() -> str:
     lat = lambda y: f"degrees(atan(sinh(pi() * (1 - 2 * ({y}) / pow(2.0::DOUBLE, zoom)))))"
     lon = lambda x: f"(({x}) / pow(2.0::DOUBLE, zoom) * 360 - 180)"
     return (
-        _with(_NODES, _ZOOMS) + f"SELECT DISTINCT zoom, x, y FROM (SELECT zoom, {_POINT_TILES} FROM node_coord, zooms WHERE zoom <= 9) "
+        _with(_NODES, _ZOOMS) + f"SELECT DISTINCT zoom, x, y FROM (SELECT zoom, {_POINT_TILES} FROM node_coord, zooms) "
         f"WHERE NOT ({lat('y')} < 36.01 OR {lon('x')} > -101.02 OR {lat('y + 1')} > 41.03 OR {lon('x + 1')} < -108.07)"
     )
 
 
 def map_store(spark: SparkSession, d: str) -> Store:
     """The driver's tables as a written store: named nodes, ways and relations with their places at all zooms."""
-    rels, ranges, nds = relations(spark, d), way_bbox(spark, d), way_nds(spark, d)
-    rel_range = ingest.relation_ranges(rels, ranges)
+    # Each is the source of several tables.
+    rels, ranges, nds = (written(df, "map") for df in (relations(spark, d), way_bbox(spark, d), way_nds(spark, d)))
+    rel_range = written(ingest.relation_ranges(rels, ranges), "map")
     nodes = node_coord(spark, d)
     near = lambda df: df.withColumn("center", F.lit(True))
     refs = ingest.placed_points(nodes.withColumn("min_zoom", F.lit(10)), "node", "nid")
@@ -685,18 +709,55 @@ def _drawn(spark: SparkSession, d: str, step: Callable[[geometry.Segment], None]
                 at = [None if a is None or a != a else (a, o) for a, o in zip(r.lats, r.lons, strict=True)]
                 s = geometry.Segment(r.wid, (), list(r.nids), at, (0, 0, 0, 0))
                 step(s)
-                out.append((r.wid, s.nodes))
+                out.append((r.wid, ",".join(map(str, s.nodes))))
             yield pd.DataFrame(out, columns=["wid", "nds"])
 
-    return pos.mapInPandas(run, "wid long, nds array<long>")
+    return pos.mapInPandas(run, "wid long, nds string")
+
+
+SAMPLE_LEAST, CLIP_BOX = 250_000.0, (39.0, -106.0, 37.0, -104.0)
 
 
 def sample(spark: SparkSession, d: str) -> DataFrame:
-    return _drawn(spark, d, lambda s: geometry.sample(s, 250_000.0))
+    return _drawn(spark, d, lambda s: geometry.sample(s, SAMPLE_LEAST))
 
 
 def clip(spark: SparkSession, d: str) -> DataFrame:
-    return _drawn(spark, d, lambda s: geometry.clip(s, (39.0, -106.0, 37.0, -104.0)))
+    return _drawn(spark, d, lambda s: geometry.clip(s, CLIP_BOX))
+
+
+_LISTED = "array_to_string(list(nid ORDER BY pos), ',') AS nds"
+_PLACED = "placed AS (SELECT wid, pos, r.nid, lat, lon, count(*) OVER w AS n, first_value(r.nid) OVER (w ORDER BY pos) = last_value(r.nid) OVER (w ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS is_loop FROM way_refs r LEFT JOIN node_coord c ON r.nid = c.nid WINDOW w AS (PARTITION BY wid))"
+
+
+def _sql_sample(least: float) -> str:
+    """Walks each way node by node; the last node kept is carried along."""
+    radius = repr(geo.EARTH_RADIUS + geo.ALTITUDE) + "::DOUBLE"
+    xyz = lambda a, b: (f"{radius} * cos(radians({a})) * cos(radians({b}))", f"{radius} * cos(radians({a})) * sin(radians({b}))", f"{radius} * sin(radians({a}))")
+    far = " + ".join(f"pow({p} - {q}, 2)" for p, q in zip(xyz("p.lat", "p.lon"), xyz("k.klat", "k.klon"), strict=True))
+    always = "p.lat IS NULL OR p.pos = p.n - 1"
+    step = f"p.klat IS NULL OR sqrt({far}) >= {least}".replace("p.klat", "k.klat")
+    moves = f"NOT ({always}) AND ({step})"
+    return (
+        _with(_NODES, _REFS, _PLACED).replace("WITH ", "WITH RECURSIVE ", 1)
+        + f""", walk AS (SELECT wid, pos, nid, CASE WHEN n > 1 THEN lat END AS klat, CASE WHEN n > 1 THEN lon END AS klon, true AS kept FROM placed WHERE pos = 0
+ UNION ALL SELECT p.wid, p.pos, p.nid, CASE WHEN {moves} THEN p.lat ELSE k.klat END, CASE WHEN {moves} THEN p.lon ELSE k.klon END, {always} OR {step}
+ FROM walk k JOIN placed p ON p.wid = k.wid AND p.pos = k.pos + 1) SELECT wid, {_LISTED} FROM walk WHERE kept GROUP BY wid"""
+    )
+
+
+def _sql_clip(box: tuple[float, float, float, float]) -> str:
+    """By the nodes before and after each, as windows."""
+    t, left, b, r = (f"{v}::DOUBLE" for v in box)
+    u, v = f"((lon - {left} - ({r} - {left}) / 2) / (({r} - {left}) / 2))", f"((lat - {b} - ({t} - {b}) / 2) / (({t} - {b}) / 2))"
+    side = f"CASE WHEN lat BETWEEN {b} AND {t} AND lon BETWEEN {left} AND {r} THEN 0 WHEN {v} - {u} > 0 THEN CASE WHEN {u} + {v} > 0 THEN 1 ELSE 2 END WHEN {u} + {v} > 0 THEN 4 ELSE 3 END"
+    return (
+        _with(_NODES, _REFS, _PLACED)
+        + f""", known AS (SELECT wid, pos, CASE WHEN is_loop AND pos IN (0, n - 1) THEN 0 ELSE {side} END AS d, pos IN (0, n - 1) AS is_end, n FROM placed WHERE lat IS NOT NULL),
+ beside AS (SELECT *, coalesce(lag(d) OVER w, CASE WHEN is_end THEN d ELSE 0 END) AS before, coalesce(lead(d) OVER w, CASE WHEN is_end THEN d ELSE 0 END) AS after FROM known WINDOW w AS (PARTITION BY wid ORDER BY pos)),
+ gone AS (SELECT wid, pos FROM beside WHERE n > 2 AND d <> 0 AND before = d AND after = d)
+ SELECT wid, coalesce(nds, '') AS nds FROM (SELECT DISTINCT wid FROM placed) LEFT JOIN (SELECT wid, {_LISTED} FROM placed ANTI JOIN gone USING (wid, pos) GROUP BY wid) USING (wid)"""
+    )
 
 
 def stitch(spark: SparkSession, d: str) -> DataFrame:
@@ -721,10 +782,119 @@ def tile_pixels(spark: SparkSession, d: str) -> DataFrame:
     return tiler.pixels(tiler.make_tiles(map_store(spark, d))).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+# ---- files ----------------------------------------------------------------------------------------------------
+
+
+def _xml(tag: str, attributes: dict[str, Column], *inside: Column) -> Column:
+    """An element as text."""
+    marks = [x for k, v in attributes.items() for x in (F.lit(f' {k}="'), v.cast("string"), F.lit('"'))]
+    return F.concat(F.lit(f"<{tag}"), *marks, F.lit(">"), *inside, F.lit(f"</{tag}>"))
+
+
+def _xml_tags() -> Column:
+    return F.array_join(F.transform("tags", lambda t: _xml("tag", {"k": t["k"], "v": t["v"]})), "")
+
+
+def _files(rows: DataFrame, root: str) -> str:
+    """Rows (key, text) as files with a root each, of about 5,000 elements."""
+    path = scratch_path(rows.sparkSession, f"{root}-xml")
+    whole = rows.groupBy(F.expr("key div 5000").alias("part")).agg(F.concat(F.lit(f"<{root}>"), F.array_join(F.sort_array(F.collect_list("text")), ""), F.lit(f"</{root}>")).alias("text"))
+    whole.write.partitionBy("part").text(path)
+    return path
+
+
+def xml_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes written as map XML, read back and selected."""
+    text = _xml("node", {"id": F.col("id"), "changeset": F.col("changeset"), "lat": F.col("lat"), "lon": F.col("lon")}, _xml_tags())
+    style, classes = _style()
+    raw = osm_xml.nodes(spark, _files(_raw_nodes(spark, d).select(F.col("id").alias("key"), text.alias("text")), "osm"))
+    return ingest.nodes(raw, style, classes).select("nid", "flags", "name", "min_zoom", "lat", "lon")
+
+
+def xml_ways(spark: SparkSession, d: str) -> DataFrame:
+    """Ways with their nodes written as map XML, read back and measured. Files have no node 0, so ids go up by one."""
+    w = way_nds(spark, d).select(F.col("wid").alias("id"), F.array_join(F.transform("nds", lambda n: _xml("nd", {"ref": n + 1})), "").alias("refs"))
+    w = w.join(_raw_ways(spark, d).drop("nds"), "id")
+    raw = osm_xml.ways(spark, _files(w.select(F.col("id").alias("key"), _xml("way", {"id": F.col("id"), "changeset": F.col("changeset")}, F.col("refs"), _xml_tags()).alias("text")), "osm"))
+    style, classes = _style()
+    ways = ingest.ways(raw, style, classes)
+    return ways.select("wid", "flags", "layer", "name", "selected", "min_zoom", F.size("nds").alias("n_nodes")).join(ingest.way_ranges(ways.select("wid", "nds"), node_coord(spark, d).withColumn("nid", F.col("nid") + 1)), "wid", "left")
+
+
+def xml_relations(spark: SparkSession, d: str) -> DataFrame:
+    """Relations with their members written as map XML, read back; their boxes by their ways."""
+    o = _t(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.struct(F.col("o_orderkey").alias("ref"), F.when(F.col("o_orderstatus") == "F", "inner").otherwise("outer").alias("role")).alias("m"))
+    members = o.groupBy("id").agg(F.sort_array(F.collect_list("m")).alias("ms"))
+    text = F.array_join(F.transform("ms", lambda m: _xml("member", {"type": F.lit("way"), "ref": m["ref"], "role": m["role"]})), "")
+    tag = lambda k, v: _xml("tag", {"k": F.lit(k), "v": F.lit(v)})
+    element = _xml("relation", {"id": F.col("id"), "changeset": F.lit(7)}, text, tag("boundary", "national_park"), tag("type", "boundary"), tag("name", "Park Road"))
+    rows = members.select(F.col("id").alias("key"), element.alias("text"))
+    style, classes = _style()
+    rels = ingest.relations(osm_xml.relations(spark, _files(rows, "osm")), style, classes)
+    rels = rels.withColumn("n_inner", F.aggregate("members", F.lit(0), lambda a, m: a + m["inner"]))
+    return rels.select("rid", "type", "name", F.size("members").alias("n_members"), "n_inner").join(ingest.relation_ranges(rels, way_bbox(spark, d)), "rid")
+
+
+_XML_RELATIONS = _with(_NODES, _REFS, _RANGE, _MEMBERS, _REL_RANGE) + """SELECT rid, 1 AS type, 'Park Road' AS name, CAST(count(*) AS INT) AS n_members, CAST(sum(inner_) AS INT) AS n_inner,
+ any_value("latT") AS "latT", any_value("lonL") AS "lonL", any_value("latB") AS "latB", any_value("lonR") AS "lonR" FROM members JOIN rel_range USING (rid) GROUP BY rid"""
+
+KML_STYLE = STYLE.replace("</style>", '<class name="boundary:state" line="major" point="town"/><class name="core:wilderness" line="minor"/></style>')
+
+
+def kml_boundaries(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as boundary placemarks of two folders, a ring of 5 points each, read back and imported: how many ways
+    and nodes, their box, and their labels."""
+    lat, lon = F.expr("30 + c_custkey % 20"), F.expr("-110 + c_custkey div 20 % 40")
+    point = lambda dx, dy: F.concat((lon + dx).cast("string"), F.lit(","), (lat + dy).cast("string"), F.lit(",0"))
+    ring = F.concat_ws(" ", point(0, 0), point(1, 0), point(1, 1), point(0, 1), point(0, 0))
+    polygon = F.concat(F.lit("<Polygon><outerBoundaryIs><LinearRing><coordinates>"), ring, F.lit("</coordinates></LinearRing></outerBoundaryIs></Polygon>"))
+    data = F.lit('<ExtendedData><SchemaData><SimpleData name="Designatio">Wilderness</SimpleData></SchemaData></ExtendedData>')
+    mark = F.concat(F.lit("<Placemark><name>"), F.col("c_name"), F.lit("</name>"), data, polygon, F.lit("</Placemark>"))
+    folder = F.when(F.col("c_custkey") % 2 == 0, "cb_2018_us_state_500k").otherwise("land")
+    # A folder is one element of a file: a few rows each.
+    rows = _t(spark, d, "customer").select(folder.alias("folder"), F.expr("c_custkey div 50").alias("part"), mark.alias("mark")).groupBy("folder", "part").agg(F.array_join(F.sort_array(F.collect_list("mark")), "").alias("marks"))
+    path = _files(rows.select(F.col("part").alias("key"), F.concat(F.lit("<Folder><name>"), "folder", F.lit("</name>"), "marks", F.lit("</Folder>")).alias("text")), "kml")
+    made = boundaries.import_boundaries(kml.placemarks(spark, path), Style.parse(KML_STYLE))
+    count = lambda t, c, name: made[t].agg(F.countDistinct(c).cast("long").alias(name))
+    box = made["way_range"].agg(F.max("latT").alias("latT"), F.min("lonL").alias("lonL"), F.min("latB").alias("latB"), F.max("lonR").alias("lonR"))
+    refs = made["way_nds"].agg(F.sum(F.size("nds")).cast("long").alias("refs"))
+    parts = [count("way_info", "wid", "ways"), count("node_coord", "nid", "nodes"), count("node_info", "nid", "labels"), refs, box]
+    out = parts[0]
+    for p in parts[1:]:  # a row each
+        out = out.crossJoin(p)
+    return out
+
+
+_KML_BOUNDARIES = """WITH c AS (SELECT c_custkey, 30 + c_custkey % 20 AS lat, -110 + c_custkey // 20 % 40 AS lon, c_custkey % 2 AS kind FROM customer),
+ p AS (SELECT kind, lat + dy AS lat, lon + dx AS lon FROM c, (VALUES (0, 0), (1, 0), (1, 1), (0, 1)) AS t(dx, dy))
+ SELECT (SELECT count(*) FROM c) AS ways, (SELECT count(*) FROM (SELECT DISTINCT * FROM p)) + (SELECT count(*) FROM c WHERE kind = 0) AS nodes, (SELECT count(*) FROM c WHERE kind = 0) AS labels,
+ CAST(5 * (SELECT count(*) FROM c) AS BIGINT) AS refs, CAST(max(lat) AS DOUBLE) AS "latT", CAST(min(lon) AS DOUBLE) AS "lonL", CAST(min(lat) AS DOUBLE) AS "latB", CAST(max(lon) AS DOUBLE) AS "lonR" FROM p"""
+
+#: Names, with {} for a number, and what becomes of them: name, abbreviation, and whether the number is preferred.
+REWRITES = (
+    ("State Highway {}", "Hwy {}", "", True), ("State Route {}", "Rte {}", "", True), ("County Road {}D", "CR {}D", "", False), ("US Highway {}", "US {}", "", False),
+    ("United States Highway {}", "US {}", "", False), ("Highway {}", "Highway {}", "", True), ("Mesa Trail Head", "Mesa TH", "", False), ("Creek Multi-Use Path", "Creek MUP", "", False),
+    ("Creek Multiuse Path", "Creek MUP", "", False), ("Mt Meeker {} ft", "Mt Meeker", "", False), ("East Pearl Street", "East Pearl Street", "E Pearl St", False),
+    ("Café Zürich {}", "Cafe Zurich {}", "", False), ("church of the hills", "Church of the Hills", "", False), ("St. Vrain", "St Vrain", "", False), ("  Boulder", "Boulder", "", False),
+)
+
+
+def name_rewrites(spark: SparkSession, d: str) -> DataFrame:
+    """Road names, path names, accents and capitals."""
+    text = F.replace(F.get(F.array(*(F.lit(r[0]) for r in REWRITES)), F.expr(f"cast(p_partkey % {len(REWRITES)} as int)")), F.lit("{}"), F.col("p_partkey").cast("string"))
+    p = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), names.parsed_name(text).alias("n"))
+    return p.select("id", "n.name", "n.abrev", "n.numbered")
+
+
+def _sql_rewrites() -> str:
+    rows = ", ".join(f"({k}, '{name}', '{short}', {number})" for k, (_, name, short, number) in enumerate(REWRITES))
+    return f"SELECT p_partkey AS id, replace(name, '{{}}', p_partkey::VARCHAR) AS name, abrev, numbered FROM part JOIN (VALUES {rows}) AS t(k, name, abrev, numbered) ON p_partkey % {len(REWRITES)} = k"
+
+
 def make_node_tiles(spark: SparkSession, d: str) -> DataFrame:
     """Whole tiles of nodes alone: how many each holds, and of what classes."""
     store = Store(spark, {"node_info": node_info(spark, d), "node_coord": node_coord(spark, d), "attr": max_changeset(spark, d)})
-    store.tables["tile_ref"] = ingest.placed_points(store["node_coord"].withColumn("min_zoom", F.lit(0)), "node", "nid").filter("zoom <= 9")
+    store.tables["tile_ref"] = ingest.placed_points(store["node_coord"].withColumn("min_zoom", F.lit(0)), "node", "nid")
     tiles = tiler.make_tiles(store)
     return tiles.select(*tiler.KEY, "changeset", F.size("nodes").alias("n_nodes"), F.aggregate("nodes", F.lit(0), lambda a, n: a + n["class"]).alias("classes"))
 
@@ -738,7 +908,7 @@ QUERIES: dict[str, Query] = {
         zoom_eligibility, point_tiles, bbox_tiles, tile_nodes, tile_ways, tile_rels, export_anti, endpoint_pairs, coord_dedupe, consecutive_dedupe, segment_split64,
         surrogate_ids, kml_coordinates, kml_classes, style_minzoom, color_decode, layer_ordinal, line_mode, name_truncate, capitalise, abbrev_map, state_codes, elevation,
         sub_tile_range, tile_local_xy, densify, max_changeset, tile_ref_counts, import_counts, last_write, point_lookup, prefetch_total, region_overlap, union_append,
-        request_parse, make_node_tiles, stitch, sample, clip, make_tile, tile_roundtrip, tile_text, tile_pixels,
+        request_parse, box_spans, xml_nodes, xml_ways, xml_relations, kml_boundaries, name_rewrites, make_node_tiles, stitch, sample, clip, make_tile, tile_roundtrip, tile_text, tile_pixels,
     )
 }
 
@@ -761,6 +931,14 @@ ORACLE_SQL: dict[str, str] = {
     "zoom_eligibility": _with(_ZOOMS) + "SELECT p_partkey AS id, zoom FROM part, zooms WHERE p_size % 18 <= zoom + 1",
     "point_tiles": _with(_NODES, _ZOOMS) + f"SELECT nid AS ref, zoom, {_POINT_TILES} FROM node_coord, zooms WHERE nid % 17 <= zoom + 1",
     "bbox_tiles": _sql_bbox_tiles(),
+    "box_spans": _sql_box_spans(),
+    "sample": _sql_sample(SAMPLE_LEAST),
+    "clip": _sql_clip(CLIP_BOX),
+    "xml_nodes": _NODE_SELECT.replace("SELECT nid, flags, name, min_zoom FROM", "SELECT nid, flags, name, min_zoom, lat, lon FROM", 1).replace("SELECT p_partkey AS nid,", f"SELECT p_partkey AS nid, {_SQL_LAT.format('p_partkey')} AS lat, {_SQL_LON.format('p_partkey')} AS lon,"),
+    "xml_ways": _with(_NODES, _REFS, _RANGE) + f"SELECT wid, flags, layer, name, selected, min_zoom, n_nodes, \"latT\", \"lonL\", \"latB\", \"lonR\" FROM ({_WAY_SELECT}) JOIN (SELECT wid, CAST(count(*) AS INT) AS n_nodes FROM way_refs GROUP BY wid) USING (wid) LEFT JOIN way_range USING (wid)",
+    "xml_relations": _XML_RELATIONS,
+    "kml_boundaries": _KML_BOUNDARIES,
+    "name_rewrites": _sql_rewrites(),
     "tile_nodes": _TILE_NODES,
     "tile_ways": _TILE_WAYS,
     "tile_rels": _TILE_RELS,
@@ -803,5 +981,5 @@ ORACLE_SQL: dict[str, str] = {
     "request_parse": """SELECT p_partkey AS id, CASE WHEN p_partkey % 11 > 1 THEN CAST(p_partkey % 16 AS INT) END AS zoom, CASE WHEN p_partkey % 11 > 1 THEN CAST(p_partkey AS INT) END AS x,
  CASE WHEN p_partkey % 11 > 1 THEN p_size END AS y FROM part""",
     "make_node_tiles": _with(_NODES, _ZOOMS) + f"""SELECT zoom, x, y, (SELECT max(c) FROM ({_MAX})) AS changeset, CAST(count(*) AS INT) AS n_nodes, CAST(sum(nid % 5) AS INT) AS classes
- FROM (SELECT nid, zoom, {_POINT_TILES} FROM node_coord, zooms WHERE zoom <= 9) GROUP BY 1, 2, 3""",
+ FROM (SELECT nid, zoom, {_POINT_TILES} FROM node_coord, zooms) GROUP BY 1, 2, 3""",
 }

@@ -9,8 +9,8 @@ from tessera import schema as S
 from tessera.dims import Classes
 from tessera.functions import geo
 from tessera.operators import encode, ingest, tiler
-from tessera.plans import jobs
-from tessera.sources import kml, osm_xml
+from tessera.plans import cli, jobs
+from tessera.sources import kml, osm_xml, scratch
 from tessera.sources.store import open_store
 from tessera.style import Style
 
@@ -142,6 +142,69 @@ def test_prefetch(store, tmp_path):
     assert jobs.region_tiles(store, (10.0, 10.0, 0.0, 20.0)).count() == 0
 
 
+def test_prefetch_of_a_whole_box(store, tmp_path, monkeypatch):
+    """Empty tiles are cached too, and a tile that can't be encoded doesn't stop the others."""
+    box = (40.05, -105.35, 39.95, -105.2)
+    grid = jobs.region_grid(store.spark, box)
+    assert grid.count() == grid.distinct().count() and {r.zoom for r in grid.select("zoom").distinct().collect()} == set(S.ZOOMS)
+    assert jobs.region_tiles(store, box).join(grid, ["zoom", "x", "y"], "left_anti").count() == 0
+    jobs.prefetch(store, str(tmp_path / "cache"), box, empty=True)
+    assert store.spark.read.parquet(str(tmp_path / "cache/tiles")).count() == grid.count()
+    assert store.spark.read.parquet(str(tmp_path / "cache/failed")).count() == 0
+    t = store.spark.createDataFrame([(3, 1, 1, 9, [], [], []), (99, 10**9, -1, 9, [], [], [])], S.TILE)
+    kept = encode.encode_tiles(t.withColumn("x", F.when(F.col("zoom") == 99, None).otherwise(F.col("x"))), keep_failed=True).collect()
+    assert [(r.zoom, r.error is None) for r in sorted(kept, key=lambda r: r.zoom)] == [(3, True), (99, False)]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    style, store = str(DATA / "style.xml"), str(tmp_path / "store")
+    assert cli.main(["import-osm", style, str(DATA / "map.osm"), store]) == 0
+    assert cli.main(["import-kml", style, store, str(DATA / "states.kml")]) == 0
+    assert cli.main(["select", store, "/tiles/15/6800/12400", str(tmp_path / "out")]) == 0
+    assert (tmp_path / "out" / "tile-15-6800-12400.bin").exists()
+    assert cli.main(["prefetch", "CO", store, str(tmp_path / "cache")]) == 0
+    assert spark.read.parquet(str(tmp_path / "cache/tiles")).count() > 0
+    with pytest.raises(SystemExit):
+        cli.main(["prefetch", "nowhere", store, "x"])
+
+
+def test_unknown_elements(spark, tmp_path):
+    p = tmp_path / "odd.osm"
+    p.write_text('<?xml version="1.0"?><osm><bounds/><node id="1" changeset="1" lat="1" lon="2"><tag k="a" v="x > y"/></node>\n<changeset id="4"/><gpx:trk /></osm>')
+    assert osm_xml.unknown_elements(spark, str(p)) == ["changeset", "gpx:trk"]
+    with pytest.raises(ValueError, match="unknown elements"):
+        jobs.import_osm(spark, str(DATA / "style.xml"), str(p), str(tmp_path / "s"))
+    assert osm_xml.unknown_elements(spark, str(DATA / "map.osm")) == []
+
+
+def test_a_very_large_box(spark):
+    """All zooms of a country's box: rows are unfolded, never held as one array."""
+    box = spark.createDataFrame([(1, 50.0, -10.0, 45.0, 0.0, 13, False)], "id long, latT double, lonL double, latB double, lonR double, min_zoom int, center boolean")
+    s = {r.zoom: r for r in ingest.spans(box, "id").collect()}
+    counts = {r.zoom: r["count"] for r in ingest.placed_boxes(box, "way", "id").groupBy("zoom").count().collect()}
+    assert counts == {z: (r.x1 - r.x0 + 1) * (r.y1 - r.y0 + 1) for z, r in s.items()} and counts[15] > 5 * 10**5
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    class Elsewhere:
+        master = "spark://far:7077"
+        _jsc = spark.sparkContext._jsc
+
+    class Session:
+        sparkContext = Elsewhere()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})()
+
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isEmpty():
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.shared_folder(Session())
+    t = scratch.written(spark.range(3), "some")
+    assert t.count() == 3
+    scratch.discard(t, spark.range(1))
+    with pytest.raises(Exception):  # noqa: B017
+        t.count()
+
+
 def test_bad_reference(spark, tmp_path):
     p = tmp_path / "bad.osm"
     p.write_text('<osm><way id="1" changeset="1"><nd ref="0"/><nd ref="5"/></way></osm>')

@@ -163,6 +163,32 @@ def test_sample_keeps_the_ends(at, least):
         assert math.dist(geometry.xyz(*p), geometry.xyz(*q)) >= least
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.one_of(st.none(), spots), min_size=1, max_size=15), st.booleans(), st.sampled_from([(3, 1, 3), (7, 27, 48), (7, 26, 48), (9, 106, 194)])), max_size=8))
+def test_many_ways_at_once(found):
+    """Thinning and rounding many ways side by side against one at a time."""
+    ways, tiles = [], []
+    for at, loop, tile in found:
+        nodes = list(range(len(at)))
+        if loop:
+            nodes[-1], at[-1] = nodes[0], at[0]
+        ways.append(segment(at, nodes, key=(1, 0, 0, "")))
+        tiles.append(tile)
+    flat = [p or (math.nan, math.nan) for w in ways for p in w.at]
+    lat, lon = np.array(flat, dtype=np.float64).reshape(-1, 2).T
+    sizes, where = np.array([len(w.nodes) for w in ways], dtype=np.int64), np.array(tiles, dtype=np.int64).reshape(-1, 3)
+    ids = np.array([n for w in ways for n in w.nodes], dtype=np.int64)
+    stays, left, known = geometry.thin(ids, lat, lon, sizes, where)
+    drawn = [geometry.draw([segment(list(w.at), list(w.nodes), key=w.key)], *t, False) for w, t in zip(ways, tiles, strict=True)]
+    want = [d[0].nodes if d else [] for d in drawn]
+    assert [p.tolist() for p in np.split(ids[stays], np.cumsum(left)[:-1])][: len(want)] == want
+    rows = np.flatnonzero(left > 0)
+    shown = stays & ~np.isnan(lat)
+    got = geometry.export_points(lat[shown], lon[shown], known[rows], where[rows])
+    one = geometry.export([d[0] for d in drawn if d], [t for d, t in zip(drawn, tiles, strict=True) if d])
+    assert all((g == o).all() for g, o in zip(got, one, strict=True))
+
+
 def edges(segments):
     return sorted(tuple(sorted(e)) for s in segments for e in zip(s.nodes, s.nodes[1:], strict=False))
 
