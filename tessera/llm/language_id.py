@@ -6,10 +6,10 @@ numpy on a bounded sample: about ``PER_LANGUAGE`` labelled rows of each of the `
 languages at most, of each a slice of at most ``SLICE`` characters; of rows that share an id one. A fifth of the
 sample is kept out of training and sets the softmax' temperature and two thresholds:
 
-- how much of a text must be grams that training has seen. Kept-out texts and their beginnings show how low that
-  share falls in learned languages, and each language's texts, against the grams of the others alone, how high it
-  rises in a language that wasn't learned. The threshold lies halfway between, where there is room; where there is
-  none, learned languages' texts stay.
+- how usual a text's grams are: the mean, over its grams, of the log share that a gram has in the language that has
+  it most. Kept-out texts and their beginnings show how low that falls in learned languages, and each language's
+  texts, by the shares of the others alone, how high it rises in a language that wasn't learned. The threshold lies
+  halfway between, where there is room; where there is none, learned languages' texts stay.
 - how flat the softmax may be: no flatter than for kept-out texts joined from two languages or more, so that a text
   of several languages stays.
 
@@ -42,10 +42,11 @@ SLICE = 3_000
 EPOCHS = 4
 RATE = 0.4
 REJECT_SHARE = 0.001
-#: Part of the texts in languages left out that the threshold should lie above.
-LEFT_OUT_SHARE = 0.99
-#: Grams that a text is taken to have beside its own, all seen in training: one odd word is no other language.
-BENEFIT = 20
+#: Part of the texts in languages left out that the threshold should lie above; labels are wrong for some of the rest, and
+#: some are of several languages.
+LEFT_OUT_SHARE = 0.9
+#: Grams that a text is taken to have beside its own, as usual as training's: one odd word is no other language.
+BENEFIT = 40
 #: Words of a beginning by which the thresholds are set, beside whole texts.
 BEGINNING = 8
 UNDETERMINED = "und"
@@ -95,16 +96,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """What prediction needs: languages, the gram table (its last column tells the grams seen in training),
-    intercepts, temperature and thresholds."""
+    """What prediction needs: languages, the gram table (its last column tells how usual a gram is), intercepts,
+    temperature, how usual grams are on average, and thresholds."""
 
     def __init__(self, languages: list[str], grams_to_scores: np.ndarray, intercepts: np.ndarray, temperature: float = 1.0):
         self.languages, self.table, self.intercepts, self.temperature = languages, grams_to_scores, intercepts, temperature
-        self.least_known, self.least_top = 0.0, 0.0
+        self.usual, self.least_usual, self.least_top = 0.0, -np.inf, 0.0
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log scores of each whole text, how many grams it has, and how many of them were seen in training. Long
-        texts are summed by chunks that end between words."""
+        """Log scores of each whole text, how many grams it has, and how usual these are together. Long texts
+        are summed by chunks that end between words."""
         sums, n = np.zeros((len(texts), self.table.shape[1])), np.zeros(len(texts), np.int64)
         batch, owner, held = [], [], 0
 
@@ -128,22 +129,21 @@ class Model:
         return sums[:, :-1] / np.maximum(n, 1)[:, None] + self.intercepts, n, sums[:, -1]
 
     def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Softmax, number of grams, and the share of grams seen, of each text."""
-        z, n, seen = self.scores(texts)
-        return _softmax(z / self.temperature), n, known_share(seen, n)
+        """Softmax, number of grams, and how usual they are on average, of each text."""
+        z, n, total = self.scores(texts)
+        return _softmax(z / self.temperature), n, self.average(total, n)
+
+    def average(self, total: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return (total + BENEFIT * self.usual) / (n + BENEFIT)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is accepted, of each text."""
         if not texts or not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-        p, n, known = self.judge(texts)
+        p, n, usual = self.judge(texts)
         best, top = p.argmax(1), p.max(1)
         names = [self.languages[i] if k else UNDETERMINED for i, k in zip(best, n, strict=True)]
-        return names, np.where(n > 0, top, 0.0), (n > 0) & (known >= self.least_known) & (top >= self.least_top)
-
-
-def known_share(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return (seen + BENEFIT) / (n + BENEFIT)
+        return names, np.where(n > 0, top, 0.0), (n > 0) & (usual >= self.least_usual) & (top >= self.least_top)
 
 
 def _chunks(text: str) -> Iterator[str]:
@@ -165,15 +165,16 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
     y = np.array([languages.index(lang) for lang, _ in rows])
-    bags = []
+    bags, sizes = [], []
     for _, text in rows:
         buckets, _ = grams([text.lower()])
         ids, n = np.unique(buckets, return_counts=True)
         bags.append((ids, n / max(1, n.sum())))
+        sizes.append(n.sum())
     kept_out = np.arange(len(rows)) % 5 == 0 if len(rows) >= 20 else np.zeros(len(rows), bool)
     learn = np.flatnonzero(~kept_out)
-    share = np.bincount(y[learn], minlength=len(languages))
-    weight = len(learn) / np.maximum(1, share) / len(languages)
+    counts = np.bincount(y[learn], minlength=len(languages))
+    weight = len(learn) / np.maximum(1, counts) / len(languages)
     emb = rng.normal(0, 0.1, (1 << BUCKET_BITS, DIMENSIONS))
     w, b = rng.normal(0, 0.1, (DIMENSIONS, len(languages))), np.zeros(len(languages))
     steps, step = EPOCHS * len(learn), 0
@@ -193,36 +194,38 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
             b -= rate * 0.1 * g
             # A mean's gradient is spread over its grams; scaling by their number keeps rare grams learning.
             emb[ids] -= rate * np.minimum(part * len(ids), 5.0)[:, None] * back
-    met = np.zeros((len(languages), 1 << BUCKET_BITS), bool)
+    share = np.full((len(languages), 1 << BUCKET_BITS), 0.5)
     for i in learn:
-        met[y[i], bags[i][0]] = True
-    model = Model(languages, np.column_stack([emb @ w, met.any(0)]).astype(np.float32), b)
+        share[y[i], bags[i][0]] += bags[i][1] * sizes[i]
+    share = np.log(share / share.sum(1, keepdims=True))
+    model = Model(languages, np.column_stack([emb @ w, share.max(0)]).astype(np.float32), b)
+    known = [share.max(0)[bags[i][0]] @ bags[i][1] for i in learn if sizes[i]]
+    model.usual = float(np.mean(known)) if known else 0.0
     held = np.flatnonzero(kept_out)
     if len(held):
-        calibrate(model, [rows[i][1] for i in held], y[held], met, rng)
+        calibrate(model, [rows[i][1] for i in held], y[held], share, rng)
     return model
 
 
-def calibrate(model: Model, texts: list[str], y: np.ndarray, met: np.ndarray, rng: np.random.Generator) -> None:
-    """Sets temperature and thresholds by kept-out texts; ``met`` has the grams that training saw in each language."""
-    z, n, seen = model.scores(texts)
+def calibrate(model: Model, texts: list[str], y: np.ndarray, share: np.ndarray, rng: np.random.Generator) -> None:
+    """Sets temperature and thresholds by kept-out texts; ``share`` has each gram's log share in each language."""
+    z, n, total = model.scores(texts)
     loss = lambda t: -np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
     model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
     begin = [" ".join(t.split()[:BEGINNING]) for t in texts]
-    _, n_begin, seen_begin = model.scores(begin)
-    inside = np.concatenate([known_share(seen, n)[n > 0], known_share(seen_begin, n_begin)[n_begin > 0]])
+    _, n_begin, total_begin = model.scores(begin)
+    inside = np.concatenate([model.average(total, n)[n > 0], model.average(total_begin, n_begin)[n_begin > 0]])
     if not len(inside):
         return
     low, left_out = float(np.quantile(inside, REJECT_SHARE)), []
-    present = np.flatnonzero(met.any(1))
-    for k in present if len(present) > 1 else ():
-        others = met[present[present != k]].any(0)
+    for k in np.unique(y) if len(share) > 1 else ():
+        others = np.delete(share, k, axis=0).max(0)
         for t in (t for t, v in zip(texts, y, strict=True) if v == k):
             buckets, _ = grams([t.lower()])
             if len(buckets):
-                left_out.append(known_share(others[buckets].sum(), len(buckets)))
-    high = float(np.quantile(left_out, LEFT_OUT_SHARE)) if left_out else 0.0
-    model.least_known = (low + high) / 2 if high < low else low
+                left_out.append(model.average(others[buckets].sum(), len(buckets)))
+    high = float(np.quantile(left_out, LEFT_OUT_SHARE)) if left_out else -np.inf
+    model.least_usual = low if not left_out or high >= low else (low + high) / 2
     mixed, by = [], [np.flatnonzero(y == k) for k in np.unique(y)]
     for _ in range(2 * len(texts) if len(by) > 1 else 0):
         some = rng.permutation(len(by))[: rng.integers(2, min(len(by), 4) + 1)]
