@@ -52,7 +52,8 @@ def _ended(paragraph: Column) -> Column:
 def _section(s: Column) -> Column:
     """A section's digest and its paragraphs' leaves, from digests and leaves of its paragraphs."""
     digests = F.transform(F.split(s, ","), lambda p: F.substring(p, 1, DIGEST))
-    return F.concat(_hash(F.array_join(digests, "")), F.lit("="), F.regexp_replace(s, f"[0-9a-f]{{{DIGEST}}}:", ""))
+    leaves = F.transform(F.split(s, ","), lambda p: F.substring(p, DIGEST + 2, 1 << 30))
+    return F.concat(_hash(F.array_join(digests, "")), F.lit("="), F.array_join(leaves, ","))
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -71,7 +72,8 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def leaves(fp: Column) -> Column:
     """The distinct leaf hashes of a fingerprint."""
-    paragraphs = F.regexp_replace(F.substring(fp, DIGEST + 2, 1 << 30), f"[0-9a-f]{{{SECTION_DIGITS}}}=", "")
+    sections = F.split(F.substring(fp, DIGEST + 2, 1 << 30), ";")
+    paragraphs = F.array_join(F.transform(sections, lambda s: F.substring(s, SECTION_DIGITS + 2, 1 << 30)), ",")
     return F.array_distinct(F.regexp_extract_all(paragraphs, F.lit(f"[0-9a-f]{{{LEAF_DIGITS}}}"), F.lit(0)))
 
 
