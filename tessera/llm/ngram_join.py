@@ -14,9 +14,11 @@ SHARE * union``, which is ``common >= need(n, m)``; linked sets share one of the
    class at most, and a group of m near copies costs m pairs.
 3. What the rounds have left: pairs in different components. Under an n-gram of up to ``NEAR + 1`` classes they are
    listed; their meetings, and what either set has left behind the end of the prefix that ends first, bound their
-   common n-grams from above. Under a larger one prefix trees of blocks of classes are traversed by the classes
-   outside the n-gram's largest component, among classes whose sizes allow a link. No link between components is
-   lost, and no pair within a component is looked at.
+   common n-grams from above. Under a larger one the classes outside the n-gram's largest component are compared, by
+   sketches, with the classes whose sizes allow a link. A sketch counts a set's n-grams by the last bits of their
+   hashes; two sets differ in at least as many n-grams as their counts do. A class' row has its sketch, a byte for
+   four to eight n-grams, and is there once for each of its n-grams with up to BLOCK classes. No link between
+   components is lost, and no pair within a component is looked at.
 4. Pairs are decided exactly: a tree of the candidates' whole sets is traversed by the other set, sharing overlaps of
    common beginnings and leaving subtrees that the remaining lengths rule out. Links give components.
 
@@ -53,6 +55,8 @@ MOST_COMMON = 200_000
 #: Classes that one task should order under one n-gram.
 GROUP = 20_000
 UNSALTED = -1
+#: The step of n-grams whose classes are one block.
+WHOLE = -9
 #: Ids of documents that may be broadcast to the scan (8 bytes each).
 MOST_BROADCAST = 2_000_000
 
@@ -128,6 +132,42 @@ class Order:
         return keys[order], salts[order]
 
 
+def sketch(keys: np.ndarray) -> np.ndarray:
+    """How many keys of a set have the same last bits, up to 255, in a power of two of places that grows with the set."""
+    places = 1 << max(4, len(keys).bit_length() - 3)
+    return np.minimum(np.bincount(keys & (places - 1), minlength=places), 255).astype(np.uint8)
+
+
+def folded(sketches: np.ndarray, places: int) -> np.ndarray:
+    """Sketches (a row each) as they are with fewer places."""
+    return np.minimum(sketches.reshape(len(sketches), -1, places).sum(1, dtype=np.int32), 255).astype(np.int16)
+
+
+def sketch_join(sketches: list[np.ndarray], sizes: np.ndarray, probes: list[np.ndarray], probe_sizes: np.ndarray, share: int = SHARE) -> Iterator[tuple[int, np.ndarray]]:
+    """For each probe, its number and the sets whose sizes and sketches allow a link with it."""
+    by = np.argsort(sizes, kind="stable")
+    n = sizes[by].astype(np.int64)
+    places = np.array([len(sketches[k]) for k in by], np.int64)
+    # Places grow with sizes, so sets of as many places stand together.
+    begins = {int(p): int(b) for p, b in zip(*np.unique(places, return_index=True), strict=True)}
+    rows = {p: np.array([sketches[k] for k in by[b : b + np.count_nonzero(places == p)]]) for p, b in begins.items()}
+    tables: dict[tuple[int, int], np.ndarray] = {}
+    for q, (probe, m) in enumerate(zip(probes, probe_sizes.astype(np.int64).tolist(), strict=True)):
+        low, high = np.searchsorted(n, -(-share * m // 100), "left"), np.searchsorted(n, 100 * m // share, "right")
+        for p, b in begins.items():
+            x, y = max(low, b), min(high, b + len(rows[p]))
+            if x >= y:
+                continue
+            least = min(p, len(probe))
+            if (p, least) not in tables:
+                tables[p, least] = folded(rows[p], least)
+            apart = np.abs(tables[p, least][x - b : y - b] - folded(probe[None], least)).sum(1, dtype=np.int64)
+            both = n[x:y] + m
+            ok = np.flatnonzero((100 + share) * (both - apart) >= 2 * share * both)
+            if len(ok):
+                yield q, by[x + ok]
+
+
 def fit_order(docs: DataFrame, n: int = WORDS, text_col: str = "text", id_col: str = "doc_id") -> Order:
     """Counts common n-grams over a bounded sample of distinct texts. It only steers the order: any is right."""
     total = docs.count()
@@ -152,12 +192,12 @@ def fit_order(docs: DataFrame, n: int = WORDS, text_col: str = "text", id_col: s
 
 
 def features(docs: DataFrame, order, n: int = WORDS, share: int = SHARE, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per row: id, size of its set, the set's 128-bit name, its prefix, and under each of these its salt."""
+    """Per row: id, size of its set, the set's 128-bit name, its prefix, under each of these its salt, and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, ranks = Shingler(n), order.value
         for b in batches:
-            size, names, prefix, salt = [], [], [], []
+            size, names, prefix, salt, sketches = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle(text)
                 name = xxhash.xxh3_128(s.tobytes())
@@ -166,14 +206,15 @@ def features(docs: DataFrame, order, n: int = WORDS, share: int = SHARE, text_co
                 size.append(len(s))
                 names.append(name.digest())
                 prefix.append(s[:p])
+                sketches.append(sketch(s).tobytes())
                 salt.append(np.where(salts[:p] > 1, (name.intdigest() & 0x7FFFFFFF) % salts[:p], UNSALTED))
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": b.column(0), "n": pa.array(size, pa.int32()), "name": pa.array(names, pa.binary()),
-                 "prefix": pa.array(prefix, pa.list_(pa.int64())), "salt": pa.array(salt, pa.list_(pa.int32()))}
+                 "prefix": pa.array(prefix, pa.list_(pa.int64())), "salt": pa.array(salt, pa.list_(pa.int32())), "sketch": pa.array(sketches, pa.binary())}
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n int, name binary, prefix array<long>, salt array<int>")
+    return rows.mapInArrow(run, "doc_id long, n int, name binary, prefix array<long>, salt array<int>, sketch binary")
 
 
 # ---- the prefix tree ------------------------------------------------------------------------------------------
@@ -311,12 +352,13 @@ def listed_pairs(met: DataFrame, share: int = SHARE) -> DataFrame:
 
 def crowds_of(met: DataFrame) -> DataFrame:
     """The meetings under crowded n-grams that hold several components: with whether the class is outside the largest
-    of them (``minor``)."""
+    of them (``minor``), and whether all of the n-gram's classes are few enough for one block (``whole``)."""
     met = met.filter("crowded").select("gram", "id", "n", "c")
     # A row a component and n-gram: the largest of an n-gram is found among these.
     parts = met.groupBy("gram", "c").agg(F.count("*").alias("k"))
-    largest = parts.groupBy("gram").agg(F.max(F.struct("k", "c")).alias("best"), F.count("*").alias("several")).filter("several > 1")
-    return met.join(largest.select("gram", F.col("best.c").alias("most")), "gram").select("gram", "id", "n", (F.col("c") != F.col("most")).alias("minor"), "c")
+    largest = parts.groupBy("gram").agg(F.max(F.struct("k", "c")).alias("best"), F.count("*").alias("several"), F.sum("k").alias("held")).filter("several > 1")
+    largest = largest.select("gram", F.col("best.c").alias("most"), (F.col("held") <= BLOCK).alias("whole"))
+    return met.join(largest, "gram").select("gram", "id", "n", (F.col("c") != F.col("most")).alias("minor"), "c", "whole")
 
 
 def bounded(pairs: DataFrame, crowds: DataFrame, share: int = SHARE) -> DataFrame:
@@ -334,74 +376,67 @@ def bounded(pairs: DataFrame, crowds: DataFrame, share: int = SHARE) -> DataFram
     return p.filter(most * (100 + share) >= F.expr(f"{share}L * (na + nb)")).select("a", "b")
 
 
-def far_pairs(crowds: DataFrame, prefixes: DataFrame, share: int = SHARE) -> DataFrame:
-    """Pairs of classes in different components that crowded n-grams hold and the prefixes' bounds leave.
+def far_pairs(crowds: DataFrame, sketches: DataFrame, share: int = SHARE) -> DataFrame:
+    """Pairs of classes in different components that crowded n-grams hold and the sketches leave; under each n-gram anew.
 
-    Classes are kept by n-gram and size, in steps of SHARE; those outside the n-gram's largest component go as probes
-    to their own step and the ones beside it. Within a step, blocks of BLOCK classes meet blocks of BLOCK probes."""
+    An n-gram's classes are one block. Where they are more than BLOCK, they are kept by size, in steps of SHARE; those
+    outside the n-gram's largest component go as probes to their own step and the ones beside it. Within a step, blocks
+    of BLOCK classes meet blocks of BLOCK probes."""
     step = F.floor(F.log("n") / (1.001 * F.log(F.lit(100 / share)))).cast("int")
-    sets = crowds.withColumn("step", step)
-    probes = sets.filter("minor").withColumn("step", F.explode(F.expr("sequence(step - 1, step + 1)")))
     key = ["gram", "step"]
+    columns = [*key, "i", "j", "probe", "minor", "id", "n", "c"]
+    whole = crowds.filter("whole").select("gram", *(F.lit(v).alias(k) for k, v in (("step", WHOLE), ("i", 0), ("j", 0), ("probe", False))), "minor", "id", "n", "c")
+    sets = crowds.filter("not whole").withColumn("step", step)
+    probes = sets.filter("minor").withColumn("step", F.explode(F.expr("sequence(step - 1, step + 1)")))
     blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).alias(name))
     counts = blocks(sets, "sb").join(blocks(probes, "pb"), key)
     dealt = lambda of: F.pmod(F.xxhash64("id"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.expr(f"sequence(0, cast({of} as int) - 1)"))
     left = sets.join(counts, key).withColumn("i", dealt("sb")).withColumn("j", every("pb")).withColumn("probe", F.lit(False))
     right = probes.join(counts, key).withColumn("j", dealt("pb")).withColumn("i", every("sb")).withColumn("probe", F.lit(True))
-    columns = [*key, "i", "j", "probe", "minor", "id", "n", "c"]
-    met = crowds.groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("grams"))
-    rows = left.select(columns).unionByName(right.select(columns)).join(prefixes.join(met, "id"), "id")
+    rows = whole.select(columns).unionByName(left.select(columns)).unionByName(right.select(columns)).join(sketches, "id")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for gram, group in _groups(batches, len(key) + 2):
-            probe, minor, ids, sizes, c, prefix, grams = group
-            left, right = np.flatnonzero(~probe), np.flatnonzero(probe)
+        for key, group in _groups(batches, 4):
+            probe, minor, ids, sizes, c, held = group
+            left, right = np.flatnonzero(~probe), np.flatnonzero(minor if key[1] == WHOLE else probe)
             out = []
             if len(left) and len(right):
-                for k, ok, _ in tree_join([prefix[x] for x in left], sizes[left], [prefix[x] for x in right], sizes[right], share):
-                    s = left[k]
-                    for q in right[ok][c[right[ok]] != c[s]]:
-                        # Two probes meet twice, as set and as probe; a pair under several n-grams counts under the first.
-                        if (not minor[s] or ids[s] < ids[q]) and np.intersect1d(grams[s], grams[q])[0] == gram:
-                            out.append((min(ids[s], ids[q]), max(ids[s], ids[q])))
+                held = [np.frombuffer(h, np.uint8) for h in held]
+                for q, found in sketch_join([held[x] for x in left], sizes[left], [held[x] for x in right], sizes[right], share):
+                    q, s = right[q], left[found]
+                    # Two probes meet twice, as set and as probe.
+                    s = s[(c[s] != c[q]) & (~minor[s] | (ids[s] < ids[q]))]
+                    if len(s):
+                        out.append(pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(ids[s], ids[q])), "b": pa.array(np.maximum(ids[s], ids[q]))}))
             if out:
-                yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([o.column(k) for o in out]) for k in range(2)], ["a", "b"])
 
     keys = [*key, "i", "j"]
-    rows = rows.select(*keys, "probe", "minor", "id", "n", "c", "prefix", "grams")
+    rows = rows.select(*keys, "probe", "minor", "id", "n", "c", "sketch")
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, "a long, b long")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[int, list]]:
-    """Rows that come sorted by their first ``n_keys`` columns, group by group, whatever batches a group spans: the first
-    key, and the other columns as arrays (lists as lists of arrays)."""
-
-    def column(c: pa.Array):
-        if pa.types.is_list(c.type):
-            flat, at = c.values.to_numpy(), c.offsets.to_numpy()
-            return [flat[x:y] for x, y in zip(at, at[1:], strict=False)]
-        return c.to_numpy(zero_copy_only=False)
-
-    def joined(parts: list):
-        return [x for p in parts for x in p] if isinstance(parts[0], list) else np.concatenate(parts)
+def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list]]:
+    """Rows that come sorted by their first ``n_keys`` columns, group by group, whatever batches a group spans: the
+    keys, and the other columns as arrays."""
 
     held, now = [], None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [column(c) for c in batch.columns]
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         keys = np.column_stack([c.astype(np.int64) for c in columns[:n_keys]])
         starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
         for x, y in zip(starts, starts[1:], strict=False):
             key = tuple(keys[x].tolist())
             if key != now:
                 if held:
-                    yield now[0], [joined(parts) for parts in zip(*held, strict=True)]
+                    yield now, [np.concatenate(parts) for parts in zip(*held, strict=True)]
                 held, now = [], key
             held.append([c[x:y] for c in columns[n_keys:]])
     if held:
-        yield now[0], [joined(parts) for parts in zip(*held, strict=True)]
+        yield now, [np.concatenate(parts) for parts in zip(*held, strict=True)]
 
 
 def whole_sets(ids: DataFrame, docs: DataFrame, order, n: int = WORDS, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -465,7 +500,7 @@ def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: st
     order = spark.sparkContext.broadcast(fit_order(docs, n, text_col, id_col))
     rows = written(features(docs, order, n, share, text_col, id_col), "n-gram-rows")
     usable = rows.filter("n > 0 and doc_id is not null")
-    classes = usable.groupBy("name").agg(F.min_by(F.struct("doc_id", "n", "prefix", "salt"), "doc_id").alias("r")).select("name", F.col("r.doc_id").alias("id"), "r.n", "r.prefix", "r.salt")
+    classes = usable.groupBy("name").agg(F.min_by(F.struct("doc_id", "n", "prefix", "salt", "sketch"), "doc_id").alias("r")).select("name", F.col("r.doc_id").alias("id"), "r.n", "r.prefix", "r.salt", "r.sketch")
     classes = written(classes, "n-gram-classes")
     met = written(meetings(classes), "n-gram-meetings")
     component, sets, old = None, None, []
@@ -501,7 +536,7 @@ def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: st
     placed = with_components(met, component)
     crowds = written(crowds_of(placed), "n-gram-crowds")
     near = bounded(listed_pairs(placed, share), crowds, share)
-    far = far_pairs(crowds, classes.select("id", "prefix"), share)
+    far = far_pairs(crowds, classes.select("id", "sketch"), share)
     linked(near.unionByName(far).distinct())
     discard(met, crowds, *old)
     if component is None:

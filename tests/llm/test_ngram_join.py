@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import components, ngram_join
-from tessera.llm.ngram_join import need, prefix_length, tree_join
+from tessera.llm.ngram_join import need, prefix_length, sketch, sketch_join, tree_join
 
 from .conftest import ODD
 
@@ -77,6 +77,42 @@ def test_tree_join_is_exact():
         assert want <= {(i, int(j)) for i, ok, _ in tree_join(cut(a), na, cut(b), nb) for j in ok}
 
 
+def test_sketches_lose_no_link():
+    """Of sets of all sizes, also where counts are full or sketches differ in length; unlike sets are told apart."""
+    rng = np.random.default_rng(8)
+    for size in (1, 7, 60, 127, 500, 1000):
+        bases = [rng.integers(0, 1 << 58, size) for _ in range(4)] + [np.arange(size, dtype=np.int64) << 20]
+
+        def near():
+            s = bases[rng.integers(5)]  # noqa: B023
+            s = s[rng.random(len(s)) > rng.choice([0, 0.05, 0.12])]
+            return np.unique(np.append(s, rng.integers(0, 1 << 58, rng.integers(1, 2 + size // 8))))  # noqa: B023
+
+        a, b = [near() for _ in range(20)], [near() for _ in range(20)]
+        na, nb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        want = {(i, j) for i in range(20) for j in range(20) if len(np.intersect1d(a[i], b[j])) >= need(len(a[i]), len(b[j]))}
+        got = {(int(i), j) for j, found in sketch_join([sketch(x) for x in a], na, [sketch(x) for x in b], nb) for i in found}
+        assert want <= got and (size < 500 or len(got) < 200)
+
+
+def test_far_rows_do_not_multiply(docs, monkeypatch):
+    """A class goes to Python once under each crowded n-gram, with a sketch that is much smaller than its prefix."""
+    held, rng = [], random.Random(6)
+    passage = [f"p{k}" for k in range(40)]
+    rows = [(i, " ".join([*passage, *(f"w{rng.random()}" for _ in range(200))]), "en", "s") for i in range(40)]
+    monkeypatch.setattr(ngram_join, "fit_order", lambda *a: ngram_join.Order(np.zeros(0, np.uint64), np.zeros(0), 1.0))
+    monkeypatch.setattr(ngram_join, "discard", lambda *a: None)
+    monkeypatch.setattr(ngram_join, "written", lambda df, name, real=ngram_join.written: held.append((name, out := real(df, name))) or out)
+    assert ngram_join.components(docs(rows)).filter("component_id <> doc_id").count() == 0
+    (crowds,) = (df for name, df in held if name == "n-gram-crowds")
+    (classes,) = (df for name, df in held if name == "n-gram-classes")
+    assert classes.filter("length(sketch) > 8 * size(prefix) / 4").count() == 0
+    seen = []
+    monkeypatch.setattr(type(crowds), "mapInArrow", lambda df, *a, real=type(crowds).mapInArrow: seen.append(df) or real(df, *a))
+    ngram_join.far_pairs(crowds, classes.select("id", "sketch"))
+    assert crowds.count() > 0 and seen[-1].count() == crowds.count()
+
+
 def test_need_is_the_share():
     for n in range(1, 60):
         for m in range(1, 60):
