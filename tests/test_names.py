@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -240,6 +241,17 @@ def test_export_equals_the_column_form(spark):
     assert len(got) == len(xs) and max(max(abs(a - c), abs(b - d)) for (a, b), c, d in zip(got, xs.tolist(), ys.tolist(), strict=True)) <= 1
 
 
+def test_long_edges_are_held_one_at_a_time():
+    """Ways that cross a thousand tiles become thousands of points, nearly all rounded to the same few."""
+    rng, n = np.random.default_rng(4), 300
+    lat, lon = 34 + rng.random(4 * n) * 9, -110 + rng.random(4 * n) * 10
+    tracemalloc.start()
+    begin, xs, _ = geometry.export_points(lat, lon, np.full(n, 4), np.tile([15, 6800, 12500], (n, 1)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(begin) == n + 1 and len(xs) < 100 * n and peak < 8 << 20
+
+
 def test_bad_tiles():
     good = encode.encode({**encode.empty_tile(1, 3, 2, 1)})
     assert encode.decode(good)["x"] == 2
