@@ -5,6 +5,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -261,6 +262,24 @@ def test_bad_tiles():
     assert S.ZOOMS == (15, 13, 11, 9, 7, 5, 3)
 
 
+def test_tiles_become_objects_a_few_at_a_time(monkeypatch):
+    """Of a batch of tiles, one at a time is unfolded to be encoded, and some are decoded before they go on."""
+
+    class Frame:  # gives the function that Spark would run
+        select = lambda self, *_: self
+        mapInArrow = mapInPandas = lambda self, run, _: run
+
+    tiles = [encode.empty_tile(1, 3, k, 1) for k in range(6)]
+    seen = []
+    monkeypatch.setattr(encode, "_plain", lambda v, real=encode._plain: seen.append("plain") or real(v) if isinstance(v, dict) and "zoom" in v else real(v))
+    monkeypatch.setattr(encode, "encode", lambda v, real=encode.encode: seen.append("encode") or real(v))
+    (coded,) = encode.encode_tiles(Frame())(iter([pa.RecordBatch.from_pylist(tiles)]))
+    assert seen == ["plain", "encode"] * 6 and coded.schema.names == ["zoom", "x", "y", "blob"]
+    monkeypatch.setattr(encode, "DECODED", 2 * len(coded["blob"][0].as_py()), raising=False)
+    back = list(encode.decode_tiles(Frame())(iter([coded.to_pandas()])))
+    assert [len(b) for b in back] == [2, 2, 2] and [x for b in back for x in b["x"]] == list(range(6))
+
+
 def test_picture_is_a_png():
     data = encode.picture([("node", 5, 5), ("way", 0, 0), ("rel", 4095, 4095)])
     assert data[:8] == b"\x89PNG\r\n\x1a\n" and data.endswith(b"IEND\xaeB`\x82")
