@@ -15,10 +15,11 @@ SHARE * union``, which is ``common >= need(n, m)``; linked sets share one of the
 3. What the rounds have left: pairs in different components. Under an n-gram of up to ``NEAR + 1`` classes they are
    listed; their meetings, and what either set has left behind the end of the prefix that ends first, bound their
    common n-grams from above. Under a larger one the classes outside the n-gram's largest component are compared, by
-   sketches, with the classes whose sizes allow a link. A sketch counts a set's n-grams by the last bits of their
-   hashes; two sets differ in at least as many n-grams as their counts do. A class' row has its sketch, a byte for
-   four to eight n-grams, and is there once for each of its n-grams with up to BLOCK classes. No link between
-   components is lost, and no pair within a component is looked at.
+   sketches, with the classes whose sizes allow a link. A sketch tells for each value of the last bits of a hash
+   whether an even or odd number of the set's n-grams have it; two sets differ in at least as many n-grams as their
+   sketches in bits. A class' row has its sketch, a byte for two to four n-grams, and its first crowded n-grams, and is
+   there once for each of its n-grams with up to BLOCK classes. A pair comes from the first of the crowded n-grams that
+   both have, not from each. No link between components is lost, and no pair within a component is looked at.
 4. Pairs are decided exactly: a tree of the candidates' whole sets is traversed by the other set, sharing overlaps of
    common beginnings and leaving subtrees that the remaining lengths rule out. Links give components.
 
@@ -45,7 +46,13 @@ from .common import discard, fresh, hash_below, same_row, small_batches, text_or
 from .components import connected
 
 WORDS, SHARE = 4, 85
-NEAR, BLOCK = 8, 512
+NEAR, BLOCK = 8, 2048
+#: Partners of one set that a task decides.
+PARTNERS = 512
+#: Bits of a sketch at least and at most, as powers of two.
+SKETCH_BITS = 7, 15
+#: Crowded n-grams that a class' row names, so that a pair isn't given again by a later one.
+NAMED = 32
 #: The part of the lesser prefix in which a pair must have met to be picked.
 PICK_SHARE = 0.25
 #: Documents in the sample that sets the order, and in how many of them an n-gram must be to count as common.
@@ -133,35 +140,37 @@ class Order:
 
 
 def sketch(keys: np.ndarray) -> np.ndarray:
-    """How many keys of a set have the same last bits, up to 255, in a power of two of places that grows with the set."""
-    places = 1 << max(4, len(keys).bit_length() - 3)
-    return np.minimum(np.bincount(keys & (places - 1), minlength=places), 255).astype(np.uint8)
+    """Whether an odd number of a set's keys have the same last bits, as bits; a power of two of places that grows with the set."""
+    least, most = SKETCH_BITS
+    places = 1 << min(max(least, len(keys).bit_length() + 1), most)
+    return np.packbits(np.bincount(keys & (places - 1), minlength=places) & 1, bitorder="little")
 
 
-def folded(sketches: np.ndarray, places: int) -> np.ndarray:
-    """Sketches (a row each) as they are with fewer places."""
-    return np.minimum(sketches.reshape(len(sketches), -1, places).sum(1, dtype=np.int32), 255).astype(np.int16)
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (a row each, in words of 64 bits) as they are with fewer places."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), 1)
 
 
 def sketch_join(sketches: list[np.ndarray], sizes: np.ndarray, probes: list[np.ndarray], probe_sizes: np.ndarray, share: int = SHARE) -> Iterator[tuple[int, np.ndarray]]:
     """For each probe, its number and the sets whose sizes and sketches allow a link with it."""
     by = np.argsort(sizes, kind="stable")
     n = sizes[by].astype(np.int64)
-    places = np.array([len(sketches[k]) for k in by], np.int64)
+    words = np.array([len(sketches[k]) // 8 for k in by], np.int64)
     # Places grow with sizes, so sets of as many places stand together.
-    begins = {int(p): int(b) for p, b in zip(*np.unique(places, return_index=True), strict=True)}
-    rows = {p: np.array([sketches[k] for k in by[b : b + np.count_nonzero(places == p)]]) for p, b in begins.items()}
+    begins = {int(p): int(b) for p, b in zip(*np.unique(words, return_index=True), strict=True)}
+    rows = {p: np.array([sketches[k] for k in by[b : b + np.count_nonzero(words == p)]]).view(np.uint64) for p, b in begins.items()}
     tables: dict[tuple[int, int], np.ndarray] = {}
     for q, (probe, m) in enumerate(zip(probes, probe_sizes.astype(np.int64).tolist(), strict=True)):
         low, high = np.searchsorted(n, -(-share * m // 100), "left"), np.searchsorted(n, 100 * m // share, "right")
+        probe = probe.view(np.uint64)[None]
         for p, b in begins.items():
             x, y = max(low, b), min(high, b + len(rows[p]))
             if x >= y:
                 continue
-            least = min(p, len(probe))
+            least = min(p, probe.shape[1])
             if (p, least) not in tables:
                 tables[p, least] = folded(rows[p], least)
-            apart = np.abs(tables[p, least][x - b : y - b] - folded(probe[None], least)).sum(1, dtype=np.int64)
+            apart = np.bitwise_count(tables[p, least][x - b : y - b] ^ folded(probe, least)).sum(1, dtype=np.int64)
             both = n[x:y] + m
             ok = np.flatnonzero((100 + share) * (both - apart) >= 2 * share * both)
             if len(ok):
@@ -377,7 +386,9 @@ def bounded(pairs: DataFrame, crowds: DataFrame, share: int = SHARE) -> DataFram
 
 
 def far_pairs(crowds: DataFrame, sketches: DataFrame, share: int = SHARE) -> DataFrame:
-    """Pairs of classes in different components that crowded n-grams hold and the sketches leave; under each n-gram anew.
+    """Pairs of classes in different components that crowded n-grams hold and the sketches leave. Sizes and sketches are the
+    same under each n-gram that a pair shares, so it is given by the first; of a class the first NAMED are known, so
+    a pair whose first one lies behind these may come again.
 
     An n-gram's classes are one block. Where they are more than BLOCK, they are kept by size, in steps of SHARE; those
     outside the n-gram's largest component go as probes to their own step and the ones beside it. Within a step, blocks
@@ -385,6 +396,7 @@ def far_pairs(crowds: DataFrame, sketches: DataFrame, share: int = SHARE) -> Dat
     step = F.floor(F.log("n") / (1.001 * F.log(F.lit(100 / share)))).cast("int")
     key = ["gram", "step"]
     columns = [*key, "i", "j", "probe", "minor", "id", "n", "c"]
+    named = crowds.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("gram")), 1, NAMED).alias("named"))
     whole = crowds.filter("whole").select("gram", *(F.lit(v).alias(k) for k, v in (("step", WHOLE), ("i", 0), ("j", 0), ("probe", False))), "minor", "id", "n", "c")
     sets = crowds.filter("not whole").withColumn("step", step)
     probes = sets.filter("minor").withColumn("step", F.explode(F.expr("sequence(step - 1, step + 1)")))
@@ -394,26 +406,29 @@ def far_pairs(crowds: DataFrame, sketches: DataFrame, share: int = SHARE) -> Dat
     every = lambda of: F.explode(F.expr(f"sequence(0, cast({of} as int) - 1)"))
     left = sets.join(counts, key).withColumn("i", dealt("sb")).withColumn("j", every("pb")).withColumn("probe", F.lit(False))
     right = probes.join(counts, key).withColumn("j", dealt("pb")).withColumn("i", every("sb")).withColumn("probe", F.lit(True))
-    rows = whole.select(columns).unionByName(left.select(columns)).unionByName(right.select(columns)).join(sketches, "id")
+    rows = whole.select(columns).unionByName(left.select(columns)).unionByName(right.select(columns)).join(sketches, "id").join(named, "id")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, group in _groups(batches, 4):
-            probe, minor, ids, sizes, c, held = group
+            probe, minor, ids, sizes, c, held, named = group
             left, right = np.flatnonzero(~probe), np.flatnonzero(minor if key[1] == WHOLE else probe)
             out = []
             if len(left) and len(right):
                 held = [np.frombuffer(h, np.uint8) for h in held]
+                before = [frozenset(g[g < key[0]].tolist()) for g in named]
                 for q, found in sketch_join([held[x] for x in left], sizes[left], [held[x] for x in right], sizes[right], share):
                     q, s = right[q], left[found]
                     # Two probes meet twice, as set and as probe.
                     s = s[(c[s] != c[q]) & (~minor[s] | (ids[s] < ids[q]))]
+                    if before[q]:
+                        s = s[[before[q].isdisjoint(before[x]) for x in s.tolist()]]
                     if len(s):
                         out.append(pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(ids[s], ids[q])), "b": pa.array(np.maximum(ids[s], ids[q]))}))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays([o.column(k) for o in out]) for k in range(2)], ["a", "b"])
 
     keys = [*key, "i", "j"]
-    rows = rows.select(*keys, "probe", "minor", "id", "n", "c", "sketch")
+    rows = rows.select(*keys, "probe", "minor", "id", "n", "c", "sketch", "named")
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, "a long, b long")
 
 
@@ -454,9 +469,9 @@ def whole_sets(ids: DataFrame, docs: DataFrame, order, n: int = WORDS, text_col:
 
 
 def decide(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """Of the pairs (a, b), those that are linked, by their whole sets. A set ``a`` comes once for up to BLOCK of its
+    """Of the pairs (a, b), those that are linked, by their whole sets. A set ``a`` comes once for up to PARTNERS of its
     partners, ahead of them; one such group and a batch is all a task holds."""
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / min(BLOCK, PARTNERS)).alias("blocks"))
     left = many.select("a", F.explode(F.expr("sequence(0, cast(blocks as int) - 1)")).alias("block"), F.lit(None).cast("long").alias("b")).join(sets.withColumnRenamed("id", "a"), "a")
     dealt = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b")
     right = dealt.join(sets.withColumnRenamed("id", "b"), "b").select("a", "block", "b", "grams")
@@ -498,10 +513,13 @@ def components(docs: DataFrame, n: int = WORDS, share: int = SHARE, text_col: st
     spark = docs.sparkSession
     small_batches(spark)
     order = spark.sparkContext.broadcast(fit_order(docs, n, text_col, id_col))
-    rows = written(features(docs, order, n, share, text_col, id_col), "n-gram-rows")
-    usable = rows.filter("n > 0 and doc_id is not null")
-    classes = usable.groupBy("name").agg(F.min_by(F.struct("doc_id", "n", "prefix", "salt", "sketch"), "doc_id").alias("r")).select("name", F.col("r.doc_id").alias("id"), "r.n", "r.prefix", "r.salt", "r.sketch")
+    whole = written(features(docs, order, n, share, text_col, id_col), "n-gram-features")
+    classes = whole.filter("n > 0 and doc_id is not null").groupBy("name").agg(F.min_by(F.struct("doc_id", "n", "prefix", "salt", "sketch"), "doc_id").alias("r")).select("name", F.col("r.doc_id").alias("id"), "r.n", "r.prefix", "r.salt", "r.sketch")
     classes = written(classes, "n-gram-classes")
+    # Prefixes and sketches are wanted once a class from here on.
+    rows = written(whole.select("doc_id", "n", "name"), "n-gram-rows")
+    discard(whole)
+    usable = rows.filter("n > 0 and doc_id is not null")
     met = written(meetings(classes), "n-gram-meetings")
     component, sets, old = None, None, []
     # An id whose rows hold different sets joins their classes.

@@ -113,6 +113,22 @@ def test_far_rows_do_not_multiply(docs, monkeypatch):
     assert crowds.count() > 0 and seen[-1].count() == crowds.count()
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_far_pairs_come_once(spark, whole):
+    """However many crowded n-grams a pair shares; pairs well below the threshold don't come at all."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 58, 300)
+    near = [np.append(base[5:], rng.integers(0, 1 << 58, 5)) for _ in range(6)]
+    unlike = [np.append(base[35:], rng.integers(0, 1 << 58, 35)) for _ in range(6)]
+    sets = dict(enumerate(near + unlike))
+    sketches = spark.createDataFrame([(i, bytearray(sketch(s).tobytes())) for i, s in sets.items()], "id long, sketch binary")
+    # Sets lack some n-grams, so first ones differ from pair to pair.
+    rows = [(g, i, 300, g % 12 != i, i, whole) for g in range(20) for i in sets if (g + i) % 5]
+    crowds = spark.createDataFrame(rows, "gram long, id long, n int, minor boolean, c long, whole boolean")
+    got = [(r.a, r.b) for r in ngram_join.far_pairs(crowds, sketches).collect()]
+    assert sorted(got) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+
+
 def test_need_is_the_share():
     for n in range(1, 60):
         for m in range(1, 60):
