@@ -2,12 +2,16 @@
 
 import random
 import re
+import tempfile
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from tessera.llm import components, ngram_join
 from tessera.llm.ngram_join import need, prefix_length, sketch, sketch_join, tree_join
+from tessera.sources.scratch import _CLEANUP, written
 
 from .conftest import ODD
 
@@ -129,6 +133,16 @@ def test_far_pairs_come_once(spark, whole):
     assert sorted(got) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
 
 
+def test_shuffle_files_go(spark):
+    """A table that has been written leaves no shuffle files, and the session's settings as they were."""
+    held = lambda: set(Path(tempfile.gettempdir()).glob("blockmgr-*/*/shuffle_*.data"))
+    before, was, until = held(), spark.conf.get(_CLEANUP, None), time.monotonic() + 10
+    out = written(spark.range(1000).selectExpr("id % 100 AS k").groupBy("k").count(), "few")
+    while held() - before and time.monotonic() < until:  # Spark removes them beside the query
+        time.sleep(0.1)
+    assert not held() - before and spark.conf.get(_CLEANUP, None) == was and out.count() == 100
+
+
 def test_need_is_the_share():
     for n in range(1, 60):
         for m in range(1, 60):
@@ -218,3 +232,14 @@ def test_connected(spark):
             first[a] = first[b] = min(first[a], first[b])
     assert got == {x: c for x, c in first.items() if any(x in e and e[0] != e[1] for e in links)}
     assert components.connected(df.limit(0)).count() == 0
+
+
+def test_few_links_are_joined_at_once(spark, monkeypatch):
+    """Without rounds, and as the stars do."""
+    rng = random.Random(12)
+    df = spark.createDataFrame([(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(110)] + [(k, k + 1) for k in range(200, 240)], "a long, b long")
+    monkeypatch.setattr(components, "FEW", 0)
+    stars = sorted(map(tuple, components.connected(df).collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(components, "_large_star", None)
+    assert sorted(map(tuple, components.connected(df).collect())) == stars
