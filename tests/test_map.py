@@ -224,3 +224,9 @@ def test_compat_ranges(spark):
     coord = spark.createDataFrame([(5, 1.0, 2.0)], "nid bigint, lat double, lon double")
     assert {r.wid for r in ingest.way_ranges(nds, coord).collect()} == {1}
     assert rows(ingest.way_ranges(nds, coord, compat=True), "wid")[2].latT == 0.0
+
+
+def test_node_tables_are_not_broadcast(spark, store):
+    """However small Spark takes them to be."""
+    plan = tiler.gather_nodes(spark.createDataFrame([(9, 1, 1, 1)] * 9, "zoom int, x int, y int, ref long").repartition(2), store)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and plan.count("SortMergeJoin") == 2
